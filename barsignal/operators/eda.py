@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsignal.functions.rolling import div
 from barsignal.functions.scalars import percent
-from barsignal.operators.features import FEATURE_GROUPS, FEATURES
+from barsignal.operators.features import FEATURE_GROUPS, FEATURES, MODEL_GROUPS
 from barsignal.operators.quantiles import exact_quantiles
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
@@ -111,30 +110,43 @@ def missing_values(df: DataFrame) -> DataFrame:
     )
 
 
-def _corr(a: str, b: str) -> Column:
-    """Pearson correlation over the rows where both hold a value; NULL when
-    either is constant there."""
-    both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
-    spread = f"min(IF({both}, {{0}}, NULL)) < max(IF({both}, {{0}}, NULL))"
-    return F.expr(f"CASE WHEN {spread.format(a)} AND {spread.format(b)} THEN corr({a}, {b}) END")
+def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str], half: bool = False) -> DataFrame:
+    """(x, y, corr) of every column of ``left`` with every one of ``right``.
 
+    Pearson over the rows where both hold a value; NULL where either is
+    constant there. ``half`` keeps the pairs above the diagonal. Rows become
+    pairs within the scan's stage and are summed per pair before the shuffle.
+    """
 
-def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(x, y, corr) of each pair, from a single pass over the data."""
-    sums = {f"c{i}": _corr(a, b) for i, (a, b) in enumerate(pairs)}
-    wide = df.agg(*[c.alias(n) for n, c in sums.items()])
-    cells = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+    def values(columns: Sequence[str]) -> Column:
+        return F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+
+    def name(columns: Sequence[str], i: str) -> Column:
+        return F.get(F.array(*[F.lit(c) for c in columns]), F.col(i))
+
+    varies = (F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))
+    return (
+        df.select(values(left).alias("l"), values(right).alias("r"))
+        .select("r", F.posexplode("l").alias("i", "x"))
+        .where("x IS NOT NULL")
+        .select("i", "x", F.posexplode("r").alias("j", "y"))
+        .where("y IS NOT NULL" + (" AND i < j" if half else ""))
+        .groupBy("i", "j")
+        .agg(F.when(varies, F.corr("x", "y")).alias("corr"))
+        .select(name(left, "i").alias("x"), name(right, "j").alias("y"), "corr")
+    )
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] = (*FEATURES, "Label")) -> DataFrame:
-    """(x, y, corr) of the full matrix: each pair once, mirrored, and itself."""
-    half = correlations(df, list(combinations(columns, 2)))
-    itself = correlations(df, [(c, c) for c in columns])
-    return half.unionByName(half.select(F.col("y").alias("x"), F.col("x").alias("y"), "corr")).unionByName(itself)
+    """(x, y, corr) of the full matrix: each pair once, mirrored, and 1 with
+    itself."""
+    pair = F.struct("x", "y")
+    mirrored = F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
+    half = correlations(df, columns, columns, half=True)
+    both = half.select(F.explode(F.array(pair, mirrored)).alias("p"), "corr").select("p.*", "corr")
+    diagonal = df.agg(*[F.when(F.min(f"`{c}`") < F.max(f"`{c}`"), 1.0).alias(c) for c in columns])
+    same = diagonal.unpivot([], list(columns), "x", "corr").select("x", F.col("x").alias("y"), "corr")
+    return both.unionByName(same)
 
 
 def corr_group(df: DataFrame, group: str) -> DataFrame:
@@ -144,14 +156,14 @@ def corr_group(df: DataFrame, group: str) -> DataFrame:
 def corr_with_label(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """(feature, corr), largest first, undefined ones last."""
     return (
-        correlations(df.dropna(subset=["Label"]), [(f, "Label") for f in features])
+        correlations(df.dropna(subset=["Label"]), features, ["Label"])
         .select(F.col("x").alias("feature"), "corr")
         .orderBy(F.desc_nulls_last("corr"), "feature")
     )
 
 
 def corr_with_label_by_group(df: DataFrame) -> DataFrame:
-    group = F.create_map(*[F.lit(v) for name, fs in FEATURE_GROUPS.items() for f in fs for v in (f, name)])
+    group = F.create_map(*[F.lit(v) for name, fs in MODEL_GROUPS.items() for f in fs for v in (f, name)])
     return corr_with_label(df).select(group[F.col("feature")].alias("feature_group"), "feature", "corr").orderBy(
         "feature_group", F.asc_nulls_last("corr"), "feature"
     )

@@ -26,6 +26,7 @@ FEATURE_GROUPS = {
     "sentiment": ("Sent_Net", "Sent_MA5", "Sent_Mom5", "News_Intensity"),
     "lag": ("Ret_Lag1", "Ret_Lag5", "Sent_Lag3"),
 }
+MODEL_GROUPS = {**FEATURE_GROUPS, "momentum": (*FEATURE_GROUPS["momentum"], "Dist_20High", "Dist_20Low")}
 
 # Rows before the current one that any feature reads.
 FEATURE_DEPTH = 20

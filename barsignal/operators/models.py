@@ -103,28 +103,32 @@ def _each(work: Callable, items: list, parallelism: int) -> list:
 
 
 def _score_folds(df: DataFrame, folds: list, model_of: Callable, parallelism: int) -> tuple[DataFrame, DataFrame]:
-    """Write each fold's predictions to one table; a failing fold is reported
-    in the status table and the others go on."""
+    """Write each fold's predictions to a folder of its own; a failing fold is
+    reported in the status table and the others go on."""
     spark = df.sparkSession
-    path = work_dir(spark, "predictions")
+    root = work_dir(spark, "predictions")
+    columns = [f.name for f in PREDICTION_SCHEMA]
 
-    def run(fold) -> tuple:
+    def run(item: tuple) -> tuple:
+        number, fold = item
         try:
             in_sector = df.where(F.col("category") == fold.category)
             model = model_of(fold, in_sector)
             if model is None:
                 return fold.category, fold.fold, "skipped", "no matching model"
             test = fold_slice(in_sector, fold.test_start, fold.test_end)
-            rows = predict(model, test).select(*[f.name for f in PREDICTION_SCHEMA if f.name not in ("category", "fold")])
-            tagged = rows.select(F.lit(fold.category).alias("category"), F.lit(fold.fold).alias("fold"), "*")
-            tagged.write.mode("append").parquet(path)
+            rows = predict(model, test).withColumn("fold", F.lit(fold.fold)).select(*columns)
+            rows.write.mode("overwrite").parquet(f"{root}/{number}")
             return fold.category, fold.fold, "done", ""
-        except Exception as error:  # the remaining sectors still run
+        except Exception as error:  # the remaining folds still run
             return fold.category, fold.fold, "failed", f"{type(error).__name__}: {error}"[:500]
 
-    status = _each(run, folds, parallelism)
-    done = any(s[2] == "done" for s in status)
-    predictions = spark.read.schema(PREDICTION_SCHEMA).parquet(path) if done else spark.createDataFrame([], PREDICTION_SCHEMA)
+    status = _each(run, list(enumerate(folds)), parallelism)
+    paths = [f"{root}/{number}" for number, s in enumerate(status) if s[2] == "done"]
+    if paths:
+        predictions = spark.read.schema(PREDICTION_SCHEMA).parquet(*paths)
+    else:
+        predictions = spark.createDataFrame([], PREDICTION_SCHEMA)
     return predictions, spark.createDataFrame(status, STATUS_SCHEMA)
 
 

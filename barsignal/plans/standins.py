@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +96,53 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").isin("purchase", "signup").cast("int").alias("y_test"),
         (((F.col("event_id") * 29) % 97 + 1).cast("double") / 98).alias("y_prob"),
     )
+
+
+def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as raw articles: strings only, with some values that do not
+    parse and some that are missing."""
+    no = F.col("doc_id").cast("string")
+    day = F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), (F.col("doc_id") % 2000).cast("int")), "yyyy-MM-dd")
+    symbol = F.concat(
+        F.lit("Brand#"), (F.col("doc_id") % 6 + 1).cast("string"), (F.floor(F.col("doc_id") / 6) % 6 + 1).cast("string")
+    )
+    return table(spark, sf_dir, "documents").select(
+        F.when(F.col("doc_id") % 11 == 0, F.concat(no, F.lit(".0"))).when(F.col("doc_id") % 13 == 0, "n/a").otherwise(no).alias("No"),
+        F.when(F.col("doc_id") % 17 == 0, "yesterday").otherwise(F.concat(day, F.lit(" 23:30:00 UTC"))).alias("Date"),
+        F.concat(F.lit('Note "'), no, F.lit('", '), F.col("lang")).alias("Article_title"),
+        symbol.alias("Stock_symbol"),
+        F.when(F.col("doc_id") % 7 != 0, F.concat(F.lit("https://news.example/"), no)).alias("Url"),
+        F.col("source").alias("Publisher"),
+        F.col("lang").alias("Author"),
+        F.col("text").alias("Article"),
+        F.col("text").alias("Lsa_summary"),
+        F.col("lang").alias("Luhn_summary"),
+        F.col("lang").alias("Textrank_summary"),
+        F.col("lang").alias("Lexrank_summary"),
+    )
+
+
+def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars as strings; the open of some is no number."""
+    bars = prices(spark, sf_dir)
+    text = bars.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in bars.columns])
+    return text.withColumn("Open", F.when(F.dayofmonth("Date") == 13, "null").otherwise(F.col("Open")))
+
+
+def write_price_archives(bars: DataFrame, folder: str) -> None:
+    """Bars as CSV members of ZIP archives, one archive per batch of rows."""
+    columns = [c for c in bars.columns if c != "Stock_symbol"]
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        for batch in batches:
+            with fs.open_output_stream(f"{root}/{uuid.uuid4().hex}.zip") as out, zipfile.ZipFile(out, "w") as z:
+                for symbol, rows in batch.groupby("Stock_symbol"):
+                    z.writestr(f"history/{symbol.lower()}.csv", rows[columns].to_csv(index=False))
+                    z.writestr(f"__MACOSX/history/{symbol.lower()}.csv", "junk")
+                z.writestr("history/readme.txt", "junk")
+            yield pd.DataFrame({"rows": [len(batch)]})
+
+    fs, root = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    fs.create_dir(root, recursive=True)
+    bars.mapInPandas(write, "rows long").agg(F.sum("rows")).collect()

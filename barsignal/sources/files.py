@@ -53,10 +53,14 @@ def scan_price_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan. Partition values stay strings, so symbols such as ``1``
-    or ``NOW`` survive, in any session."""
-    return spark.read.option("partitionColumnTypeInference", "false").parquet(path)
+def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan; partition folders become columns and prune the scan.
+
+    Partition values such as ``1`` stay strings in a session set up by
+    ``session.configure``, or with an explicit schema in any session.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def scan_sector_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
