@@ -12,6 +12,7 @@ from barsignal.operators.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
 
 START, END = "1996-01-01", "1999-12-31"
 PLACES = 6
+PLACES_OF = {"Sent_MA5": 12}
 
 CTES: dict[str, str] = {
     "lines": """
@@ -167,6 +168,7 @@ def with_tables(body: str, *extra: tuple[str, str]) -> str:
 def r(x: str, alias: str | None = None, places: int = PLACES) -> str:
     """Rounded column; adding 0 turns a negative zero into zero."""
     alias = alias or x
+    places = PLACES_OF.get(alias, places)
     return f'round({x}, {places}) + 0 as "{alias.strip(chr(34))}"'
 
 
