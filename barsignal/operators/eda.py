@@ -25,7 +25,7 @@ def row_count(df: DataFrame) -> DataFrame:
 def sector_counts(df: DataFrame) -> DataFrame:
     """Rows per category, with the number of categories beside."""
     counts = df.groupBy("category").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.withColumn("categories", F.count(F.lit(1)).over(Window.partitionBy()))
+    return counts.withColumn("categories", df.agg(F.countDistinct("category")).scalar())
 
 
 def distinct_symbols(df: DataFrame) -> DataFrame:
@@ -39,12 +39,8 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their share in percent, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (
-        counts.join(F.broadcast(total))  # one row
-        .select(column, "count", (div(F.col("count"), F.col("_total")) * 100).alias("percent"))
-        .orderBy(F.desc("count"), column)
-    )
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.withColumn("percent", div(F.col("count"), total) * 100).orderBy(F.desc("count"), column)
 
 
 def label_by_symbol(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barsignal.functions.rolling import div, roll
-from barsignal.operators.panel import BLOCK_ROWS, over_blocks
+from barsignal.operators.panel import BLOCK_ROWS, drop_filled, filled_columns, over_blocks, raw
 
 # The model's feature names, in the order the model expects.
 FEATURES = (
@@ -36,8 +36,11 @@ FEATURE_DEPTH = 20
 # Families are combined phase by phase, so any number of them costs two
 # window passes over one sorted partitioning. Columns starting with "_" are
 # intermediate.
+#
+# ``past`` gives the column that fractional changes are taken of: the column
+# itself, or its forward-filled copy.
 Phase = dict[str, Column]
-Family = Callable[[WindowSpec], list[Phase]]
+Family = Callable[[WindowSpec, Callable[[str], Column]], list[Phase]]
 
 
 def _adj() -> Column:
@@ -48,15 +51,15 @@ def _net() -> Column:
     return F.col("positive") - F.col("negative")
 
 
-def returns(w: WindowSpec) -> list[Phase]:
-    spans = (1, 5, 20)
+def returns(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
+    spans, price = (1, 5, 20), past("Adj Close")
     return [
-        {f"_adj_{k}": F.lag(_adj(), k).over(w) for k in spans},
-        {f"Return_{k}d": div(_adj(), F.col(f"_adj_{k}")) - 1 for k in spans},
+        {f"_past_{k}": F.lag(price, k).over(w) for k in spans},
+        {f"Return_{k}d": div(price, F.col(f"_past_{k}")) - 1 for k in spans},
     ]
 
 
-def moving_averages(w: WindowSpec) -> list[Phase]:
+def moving_averages(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
     ma5, ma20 = F.col("MA5"), F.col("MA20")
     return [
         {f"MA{n}": roll(F.avg, _adj(), n, w) for n in (5, 20)},
@@ -64,7 +67,7 @@ def moving_averages(w: WindowSpec) -> list[Phase]:
     ]
 
 
-def extrema(w: WindowSpec) -> list[Phase]:
+def extrema(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
     def distance(level: str) -> Column:
         return div(_adj() - F.col(level), F.col(level))
 
@@ -74,27 +77,27 @@ def extrema(w: WindowSpec) -> list[Phase]:
     ]
 
 
-def volatility(w: WindowSpec) -> list[Phase]:
+def volatility(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
     """The gap sets the raw open against the adjusted previous close."""
-    previous = F.col("_adj_1")
+    previous = F.col("_previous")
     return [
-        {},
+        {"_previous": F.lag(_adj(), 1).over(w)},
         {"Gap": div(F.col("Open") - previous, previous)},
         {f"Vol_{n}d": roll(F.stddev_samp, F.col("Return_1d"), n, w) for n in (5, 20)},
         {"Vol_Ratio": div(F.col("Vol_5d"), F.col("Vol_20d"))},
     ]
 
 
-def volume(w: WindowSpec) -> list[Phase]:
-    shares, ma20 = F.col("Volume"), F.col("Vol_MA20")
+def volume(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
+    shares, traded, ma20 = F.col("Volume"), past("Volume"), F.col("Vol_MA20")
     return [
         {
-            "_shares_1": F.lag(shares, 1).over(w),
+            "_traded_1": F.lag(traded, 1).over(w),
             "Vol_MA20": roll(F.avg, shares, 20, w),
             "Vol_MA5": roll(F.avg, shares, 5, w),
         },
         {
-            "Vol_Change": div(shares, F.col("_shares_1")) - 1,
+            "Vol_Change": div(traded, F.col("_traded_1")) - 1,
             "Vol_Ratio_20": div(shares, ma20),
             "Vol_Trend": div(F.col("Vol_MA5"), ma20),
         },
@@ -103,14 +106,14 @@ def volume(w: WindowSpec) -> list[Phase]:
     ]
 
 
-def sentiment(w: WindowSpec) -> list[Phase]:
+def sentiment(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
     return [
         {"Sent_MA5": roll(F.avg, _net(), 5, w), "_net_5": F.lag(_net(), 5).over(w)},
         {"Sent_Net": _net(), "Sent_Mom5": _net() - F.col("_net_5")},
     ]
 
 
-def news(w: WindowSpec) -> list[Phase]:
+def news(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
     count = F.col("article_count")
     return [
         {"Art_MA20": roll(F.avg, count, 20, w)},
@@ -118,7 +121,7 @@ def news(w: WindowSpec) -> list[Phase]:
     ]
 
 
-def return_lags(w: WindowSpec) -> list[Phase]:
+def return_lags(w: WindowSpec, past: Callable[[str], Column]) -> list[Phase]:
     return [
         {"Sent_Lag3": F.lag(_net(), 3).over(w)},
         {},
@@ -129,21 +132,25 @@ def return_lags(w: WindowSpec) -> list[Phase]:
 ALL_FAMILIES = (returns, moving_averages, extrema, volatility, volume, sentiment, news, return_lags)
 
 
-def families_on(df: DataFrame, w: WindowSpec, families: Iterable[Family]) -> DataFrame:
+def families_on(
+    df: DataFrame, w: WindowSpec, families: Iterable[Family], past: Callable[[str], Column] = raw
+) -> DataFrame:
     """Add the families' columns to a panel whose windows follow ``w``."""
-    built = [family(w) for family in families]
+    built = [family(w, past) for family in families]
     for i in range(max(len(phases) for phases in built)):
         columns = {name: c for phases in built if i < len(phases) for name, c in phases[i].items()}
         df = df.withColumns(columns) if columns else df
     return df.drop(*[c for phases in built for phase in phases for c in phase if c.startswith("_")])
 
 
-def all_features_on(df: DataFrame, w: WindowSpec) -> DataFrame:
-    return families_on(df, w, ALL_FAMILIES)
+def all_features_on(df: DataFrame, w: WindowSpec, past: Callable[[str], Column] = raw) -> DataFrame:
+    return families_on(df, w, ALL_FAMILIES, past)
 
 
-def _engineer(df: DataFrame, block_rows: int | None, *families: Family) -> DataFrame:
-    return over_blocks(df, lambda d, w: families_on(d, w, families), FEATURE_DEPTH, block_rows=block_rows)
+def _engineer(df: DataFrame, block_rows: int | None, *families: Family, fill: str = "none") -> DataFrame:
+    df, past = filled_columns(df, ("Adj Close", "Volume"), fill)
+    out = over_blocks(df, lambda d, w: families_on(d, w, families, past), FEATURE_DEPTH, block_rows=block_rows)
+    return drop_filled(out)
 
 
 def engineer_return_features(df: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
@@ -181,6 +188,10 @@ def engineer_lag_features(df: DataFrame, block_rows: int | None = BLOCK_ROWS) ->
     return _engineer(df, block_rows, returns, sentiment, return_lags)
 
 
-def engineer_all_features(df: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
-    """Every feature of ``FEATURES`` plus the averages and extrema behind them."""
-    return _engineer(df, block_rows, *ALL_FAMILIES)
+def engineer_all_features(df: DataFrame, block_rows: int | None = BLOCK_ROWS, fill: str = "none") -> DataFrame:
+    """Every feature of ``FEATURES`` plus the averages and extrema behind them.
+
+    ``fill="ffill"`` takes changes of prices and volumes over missing values,
+    from the last known one.
+    """
+    return _engineer(df, block_rows, *ALL_FAMILIES, fill=fill)

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, WindowSpec
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barsignal.functions.rolling import change
-from barsignal.operators.panel import BLOCK_ROWS, over_blocks
+from barsignal.operators.panel import BLOCK_ROWS, drop_filled, filled_columns, over_blocks, raw
 
 LABEL_DAYS = 5
 LABEL_VOTES = 3
 
 
-def labels_on(df: DataFrame, w: WindowSpec, price_col: str = "Close", mode: str = "compat") -> DataFrame:
+def labels_on(
+    df: DataFrame,
+    w: WindowSpec,
+    price_col: str = "Close",
+    mode: str = "compat",
+    past: Callable[[str], Column] = raw,
+) -> DataFrame:
     """Daily_Return, Up_Day, Up_Count_5d and Label.
 
     ``compat`` counts the up days of rows t-3 .. t+1, so four of the five are
@@ -27,7 +35,7 @@ def labels_on(df: DataFrame, w: WindowSpec, price_col: str = "Close", mode: str
     rows_needed = needed[1] - needed[0] + 1
     complete = F.count("Up_Day").over(w.rowsBetween(*needed)) == rows_needed
     df = (
-        df.withColumn("Daily_Return", change(F.col(f"`{price_col}`"), 1, w))
+        df.withColumn("Daily_Return", change(past(price_col), 1, w))
         .withColumn("Up_Day", F.when(F.col("Daily_Return") > 0, 1).otherwise(0))
         .withColumn("Up_Count_5d", F.when(complete, F.sum("Up_Day").over(w.rowsBetween(*counted))))
     )
@@ -40,11 +48,14 @@ def create_labels(
     price_col: str = "Close",
     mode: str = "compat",
     block_rows: int | None = BLOCK_ROWS,
+    fill: str = "none",
 ) -> DataFrame:
-    return over_blocks(
+    df, past = filled_columns(df, (price_col,), fill)
+    labelled = over_blocks(
         df,
-        lambda d, w: labels_on(d, w, price_col, mode),
+        lambda d, w: labels_on(d, w, price_col, mode, past),
         back=LABEL_DAYS,
         ahead=LABEL_DAYS,
         block_rows=block_rows,
     )
+    return drop_filled(labelled)

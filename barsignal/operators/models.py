@@ -176,6 +176,10 @@ def model_registry(spark: SparkSession, models_dir: str) -> DataFrame:
     )
 
 
+def sorted_models(registry: DataFrame) -> DataFrame:
+    return registry.orderBy("category", "test_start", "test_end")
+
+
 def save_registry(registry: DataFrame, results: DataFrame, path: str, features: Sequence[str] = MODEL_FEATURES) -> None:
     """Write the models' dates, metrics, counts and features as one table."""
     keys = ["category", "train_start", "train_end", "test_start", "test_end"]

@@ -13,7 +13,7 @@ the panel itself is shuffled once, on (symbol, block).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -95,6 +95,58 @@ def over_blocks(
     return fn(tagged, symbol_window(df, "_block")).where("_own").drop("_block", "_own")
 
 
+def raw(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+FILLED = "_filled_"
+
+
+def filled_columns(df: DataFrame, columns: Sequence[str], fill: str) -> tuple[DataFrame, Callable[[str], Column]]:
+    """A panel and the function that names the columns to take changes of.
+
+    ``fill="none"`` gives the columns themselves; ``"ffill"`` adds copies in
+    which a missing value is the symbol's last known one.
+    """
+    if fill == "none":
+        return df, raw
+    if fill != "ffill":
+        raise ValueError(f"unknown fill {fill!r}")
+    return forward_fill(df, {c: FILLED + c for c in columns}), lambda name: raw(FILLED + name)
+
+
+def drop_filled(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(FILLED)])
+
+
+def forward_fill(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Copies, named by the mapping's values, with gaps filled per symbol.
+
+    A gap may be of any length, so no halo covers it: each month's last known
+    values are carried over the months, and the rows of a month, which are one
+    window, fall back on what was carried into it.
+    """
+    place = F.struct(DATE, *[raw(c) for c in TIE_COLUMNS if c in df.columns])
+    by_symbol = Window.partitionBy("_sym").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    months = df.groupBy(F.col(SYMBOL).alias("_sym"), _month().alias("_month")).agg(
+        *[F.max_by(raw(c), F.when(raw(c).isNotNull(), place)).alias(f"_last_{c}") for c in columns]
+    )
+    carried = months.select(
+        "_sym", "_month", *[F.last(f"_last_{c}", ignorenulls=True).over(by_symbol).alias(f"_carry_{c}") for c in columns]
+    )
+    in_month = (
+        Window.partitionBy(SYMBOL, "_m").orderBy(*panel_order(df)).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    joined = df.withColumn("_m", _month()).join(
+        carried, F.col(SYMBOL).eqNullSafe(F.col("_sym")) & (F.col("_m") == F.col("_month"))
+    )
+    filled = joined.withColumns({
+        target: F.coalesce(F.last(raw(c), ignorenulls=True).over(in_month), F.col(f"`_carry_{c}`"))
+        for c, target in columns.items()
+    })
+    return filled.drop("_m", "_sym", "_month", *[f"_carry_{c}" for c in columns])
+
+
 def panel_sort(df: DataFrame) -> DataFrame:
     """The panel in (symbol, date) order, for output only."""
     return df.orderBy(SYMBOL, *panel_order(df))

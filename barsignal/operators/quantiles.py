@@ -22,8 +22,8 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _sketch(x):
-    points = [i / GRID for i in range(GRID + 1)]
-    return F.percentile_approx(x, points, ACCURACY)
+    points = ", ".join(f"{i / GRID}D" for i in range(GRID + 1))
+    return F.percentile_approx(x, F.expr(f"array({points})"), ACCURACY)
 
 
 def _narrowed(rank_first, rank_last, rows):

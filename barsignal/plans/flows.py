@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from barsignal.operators import clean, merge, metrics
-from barsignal.operators.features import FEATURES, FEATURE_DEPTH, all_features_on
+from barsignal.operators.features import FEATURE_DEPTH, FEATURES, all_features_on
 from barsignal.operators.folds import TEST_DAYS, TRAIN_DAYS, fold_counts, fold_table
 from barsignal.operators.labels import LABEL_DAYS, labels_on
-from barsignal.operators.panel import BLOCK_ROWS, over_blocks
+from barsignal.operators.panel import BLOCK_ROWS, drop_filled, filled_columns, over_blocks
 from barsignal.operators.sentiment import daily_sentiment
 from barsignal.operators.zscore import METHODS, WINDOW_DAYS
 
+# Columns whose fractional changes are taken.
+CHANGED = ("Close", "Adj Close", "Volume")
+
 
 def clean_news(raw: DataFrame, universe: DataFrame) -> DataFrame:
     """Articles of the universe, typed, without any row that lacks a value."""
@@ -47,14 +50,19 @@ def sector_panel(
 
 
 def labelled_features(
-    panel: DataFrame, price_col: str = "Close", label_mode: str = "compat", block_rows: int | None = BLOCK_ROWS
+    panel: DataFrame,
+    price_col: str = "Close",
+    label_mode: str = "compat",
+    block_rows: int | None = BLOCK_ROWS,
+    fill: str = "none",
 ) -> DataFrame:
     """All features and the label, from one shuffle of the panel."""
+    panel, past = filled_columns(panel, CHANGED, fill)
 
     def steps(df, w):
-        return all_features_on(labels_on(df, w, price_col, label_mode), w)
+        return all_features_on(labels_on(df, w, price_col, label_mode, past), w, past)
 
-    return over_blocks(panel, steps, back=FEATURE_DEPTH, ahead=LABEL_DAYS, block_rows=block_rows)
+    return drop_filled(over_blocks(panel, steps, back=FEATURE_DEPTH, ahead=LABEL_DAYS, block_rows=block_rows))
 
 
 def model_set(
@@ -65,21 +73,23 @@ def model_set(
     label_mode: str = "compat",
     method: str = "chunked",
     block_rows: int | None = BLOCK_ROWS,
+    fill: str = "none",
 ) -> DataFrame:
     """Features, labels and z-scores of all sectors; rows lacking one dropped.
 
     Everything is computed from one shuffle of the panel: a block's halo
     covers the z-score window and, before it, the depth of the features.
     """
+    panel, past = filled_columns(panel, CHANGED, fill)
 
     def steps(df, w):
-        df = all_features_on(labels_on(df, w, price_col, label_mode), w)
+        df = all_features_on(labels_on(df, w, price_col, label_mode, past), w, past)
         return METHODS[method](df, w, features, window)
 
     scored = over_blocks(
         panel, steps, back=FEATURE_DEPTH + window - 1, ahead=LABEL_DAYS, block_rows=block_rows
     )
-    return clean.drop_null_subset(scored, [*[f"{f}_z" for f in features], "Label"])
+    return drop_filled(clean.drop_null_subset(scored, [*[f"{f}_z" for f in features], "Label"]))
 
 
 def fold_report(

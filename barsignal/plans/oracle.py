@@ -283,6 +283,11 @@ LEXICON_BODY = f"""
     from weights"""
 add("score_lexicon", LEXICON_BODY, *LEXICON)
 add("score_sentiment", LEXICON_BODY, *LEXICON)
+add("scan_parquet_batches", f"""
+    select predicted_sentiment, count(*) as rows, {r('avg(p)', 'positive', 8)}
+    from (select case when a >= b and a >= c then 'negative' when b >= c then 'neutral' else 'positive' end as predicted_sentiment,
+                 c / (a + b + c) as p from weights ) t
+    group by predicted_sentiment""", *LEXICON)
 
 # Labels, features, z-scores
 add("create_labels", f"select {KEY}, {r('Daily_Return')}, Up_Day, Up_Count_5d, Label from labelled")
@@ -303,8 +308,32 @@ for name, columns in {
     "news_intensity": ("Art_MA20", "News_Intensity"),
     "lag_features": ("Ret_Lag1", "Ret_Lag5", "Sent_Lag3"),
     "all_features": FEATURES,
+    "moving_avgs": ("MA5", "MA20"),
+    "ma_ratios": ("MA5_Ratio", "MA20_Ratio"),
+    "trend": ("Trend_5_20",),
+    "dist_extrema": ("Dist_20High", "Dist_20Low"),
+    "vol_ratio": ("Vol_Ratio",),
+    "gap": ("Gap",),
+    "volume_change": ("Vol_Change",),
+    "volume_ma": ("Vol_MA20", "Vol_MA5"),
+    "volume_ratio": ("Vol_Ratio_20",),
+    "pv_score": ("PV_Score",),
+    "volume_trend": ("Vol_Trend",),
+    "sent_net": ("Sent_Net",),
+    "sent_ma5": ("Sent_MA5",),
+    "sent_mom5": ("Sent_Mom5",),
+    "daily_return": ("Daily_Return",),
 }.items():
     add(name, f"select {KEY}, {rounded(columns, 8)} from features")
+for name, column in {"up_day": "Up_Day", "up_count_5d": "Up_Count_5d", "label": "Label"}.items():
+    add(name, f"select {KEY}, {column} from labelled")
+FILLED = 'last_value(gap ignore nulls) over (partition by Stock_symbol order by Date rows unbounded preceding)'
+add("all_features_ffill", f"""
+    select {KEY}, {', '.join(r(f"px / nullif({lag('px', k)}, 0) - 1", f'Return_{k}d', 8) for k in (1, 5, 20))},
+           {r(f"Volume / nullif({lag('Volume', 1)}, 0) - 1", 'Vol_Change', 8)}, {r(roll('avg', 'gap', 5), 'MA5', 8)}
+    from filled_bars""",
+    ("gap_bars", f"select *, case when day(Date) % 4 <> 1 then {ADJ} end as gap from panel"),
+    ("filled_bars", f"select *, {FILLED} as px from gap_bars"))
 Z_COLUMNS = [f"{f}_z" for f in FEATURES]
 add("zscore", f"select {KEY}, {rounded(Z_COLUMNS, 5)} from scored")
 add("zscore_sliding", f"select {KEY}, {', '.join(r(z(x, 60), f'{x}_z', 5) for x in ('Return_1d', 'Sent_Net'))} from features")

@@ -424,6 +424,17 @@ def _(spark, sf_dir):
     return shown(sentiment.score_sentiment(documents, lexicon_scorer, "doc_id", "text"), places=8)
 
 
+@query("scan_parquet_batches")
+def _(spark, sf_dir):
+    """The scorer's two columns, scanned from Parquet in slices of 64 rows."""
+    path = work_dir(spark, "scorer_input")
+    sinks.write_parquet(clean.select_columns(standins.raw_news(spark, sf_dir)), path)
+    scored = sentiment.score_sentiment(files.scan_parquet(spark, path), lexicon_scorer)
+    return shown(scored.groupBy("predicted_sentiment").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("positive").alias("positive")
+    ), places=8)
+
+
 # Labels, features, z-scores -----------------------------------------------
 
 @query("create_labels")
@@ -449,6 +460,23 @@ FEATURE_QUERIES = {
     "news_intensity": ("engineer_news_features", ("Art_MA20", "News_Intensity")),
     "lag_features": ("engineer_lag_features", ("Ret_Lag1", "Ret_Lag5", "Sent_Lag3")),
     "all_features": ("engineer_all_features", features.FEATURES),
+    "moving_avgs": ("engineer_moving_average_features", ("MA5", "MA20")),
+    "ma_ratios": ("engineer_moving_average_features", ("MA5_Ratio", "MA20_Ratio")),
+    "trend": ("engineer_moving_average_features", ("Trend_5_20",)),
+    "dist_extrema": ("engineer_extrema_features", ("Dist_20High", "Dist_20Low")),
+    "vol_ratio": ("engineer_volatility_features", ("Vol_Ratio",)),
+    "gap": ("engineer_volatility_features", ("Gap",)),
+    "volume_change": ("engineer_volume_features", ("Vol_Change",)),
+    "volume_ma": ("engineer_volume_features", ("Vol_MA20", "Vol_MA5")),
+    "volume_ratio": ("engineer_volume_features", ("Vol_Ratio_20",)),
+    "pv_score": ("engineer_volume_features", ("PV_Score",)),
+    "volume_trend": ("engineer_volume_features", ("Vol_Trend",)),
+    "sent_net": ("engineer_sentiment_features", ("Sent_Net",)),
+    "sent_ma5": ("engineer_sentiment_features", ("Sent_MA5",)),
+    "sent_mom5": ("engineer_sentiment_features", ("Sent_Mom5",)),
+}
+LABEL_QUERIES = {
+    "daily_return": ("Daily_Return",), "up_day": ("Up_Day",), "up_count_5d": ("Up_Count_5d",), "label": ("Label",),
 }
 
 
@@ -459,6 +487,25 @@ def _feature_query(fn: str, columns: tuple[str, ...]) -> Query:
 for _name, (_fn, _columns) in FEATURE_QUERIES.items():
     query(_name)(_feature_query(_fn, _columns))
 
+
+def _label_query(columns: tuple[str, ...]) -> Query:
+    return lambda spark, sf_dir: shown(labels.create_labels(silver(spark, sf_dir, "panel")), *KEY, *columns, places=8)
+
+
+for _name, _columns in LABEL_QUERIES.items():
+    query(_name)(_label_query(_columns))
+
+
+@query("all_features_ffill")
+def _(spark, sf_dir):
+    """Changes over days whose price is taken out, from the last known one."""
+    gaps = silver(spark, sf_dir, "panel").withColumn(
+        "Adj Close", F.when(F.dayofmonth("Date") % 4 != 1, F.col("`Adj Close`"))
+    )
+    filled = features.engineer_all_features(gaps, fill="ffill")
+    return shown(filled, *KEY, "Return_1d", "Return_5d", "Return_20d", "Vol_Change", "MA5", places=8)
+
+
 Z_COLUMNS = tuple(f"{f}_z" for f in features.FEATURES)
 
 
@@ -890,6 +937,12 @@ def _(spark, sf_dir):
     return shown(models.model_registry(spark, _trial(spark, sf_dir)[0]).drop("model_path"))
 
 
+@query("sorted_models")
+def _(spark, sf_dir):
+    registry = models.model_registry(spark, _trial(spark, sf_dir)[0])
+    return shown(models.sorted_models(registry).select("category", "test_start", "test_end"))
+
+
 @query("save_model")
 def _(spark, sf_dir):
     folder, predicted, _ = _trial(spark, sf_dir)
