@@ -120,7 +120,8 @@ def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str], half:
     def name(columns: Sequence[str], i: str) -> Column:
         return F.get(F.array(*[F.lit(c) for c in columns]), F.col(i))
 
-    varies = (F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))
+    # F.corr would divide by zero on a constant column in ANSI mode.
+    pearson = div(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
     return (
         df.select(values(left).alias("l"), values(right).alias("r"))
         .select("r", F.posexplode("l").alias("i", "x"))
@@ -128,7 +129,7 @@ def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str], half:
         .select("i", "x", F.posexplode("r").alias("j", "y"))
         .where("y IS NOT NULL" + (" AND i < j" if half else ""))
         .groupBy("i", "j")
-        .agg(F.when(varies, F.corr("x", "y")).alias("corr"))
+        .agg(pearson.alias("corr"))
         .select(name(left, "i").alias("x"), name(right, "j").alias("y"), "corr")
     )
 

@@ -65,15 +65,24 @@ _BUILDERS: dict[str, Query] = {
     "raw_prices": standins.raw_prices,
     "panel": _panel,
     "features": lambda s, d: flows.labelled_features(silver(s, d, "panel")),
-    "model_set": lambda s, d: flows.model_set(silver(s, d, "panel")),
 }
 
 
+def _model_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "model_set")
+    table = flows.model_set(silver(spark, sf_dir, "panel"))
+    sinks.write_model_set(table, path)
+    return files.scan_parquet(spark, path, table.schema)
+
+
 def silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stage's output table, written on first use in a session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
-        _WRITTEN[key] = materialize(_BUILDERS[name](spark, sf_dir), name)
+        if name == "model_set":
+            _WRITTEN[key] = _model_set(spark, sf_dir)
+        else:
+            _WRITTEN[key] = materialize(_BUILDERS[name](spark, sf_dir), name)
     return _WRITTEN[key]
 
 
@@ -182,7 +191,7 @@ def _(spark, sf_dir):
 def _sector_csv(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         path = work_dir(spark, "category_csvs")
-        sinks.export_sector_csv(silver(spark, sf_dir, "panel"), path, salts=4)
+        sinks.export_sector_csv(silver(spark, sf_dir, "panel"), path)
         return path
 
     return once(spark, sf_dir, "category_csvs", make)
@@ -213,14 +222,14 @@ def _(spark, sf_dir):
 @query("write_by_symbol")
 def _(spark, sf_dir):
     path = work_dir(spark, "by_symbol")
-    sinks.write_by_symbol(silver(spark, sf_dir, "prices"), path, salts=4)
+    sinks.write_by_symbol(silver(spark, sf_dir, "prices"), path)
     return shown(files.scan_parquet(spark, path), *KEY, "Open", "High", "Low", "Close", "Volume")
 
 
 @query("write_by_sector")
 def _(spark, sf_dir):
     path = work_dir(spark, "by_sector")
-    sinks.write_by_sector(silver(spark, sf_dir, "panel"), path, salts=4)
+    sinks.write_by_sector(silver(spark, sf_dir, "panel"), path)
     return shown(files.scan_parquet(spark, path), *KEY, "category", "Close", "article_count", "has_news")
 
 

@@ -19,6 +19,9 @@ SESSION_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+# Stand-in for the shared folder, per local application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to a session."""
@@ -46,8 +49,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="barsignal-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app) or _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="barsignal-"))
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -7,43 +7,45 @@ from pyspark.sql import functions as F
 
 
 
-def _spread(df: DataFrame, key: str, salts: int) -> DataFrame:
-    """Rows of one key together, but a large key over up to ``salts`` tasks.
+def _together(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a key in as few tasks as their size allows.
 
-    The salt is a hash of the row, so a rerun of a lost task sends each row to
-    the same place.
+    Rebalancing lets adaptive execution split a key that is too large for one
+    task and merge small ones, so a partition's folder gets few files but no
+    task gets a whole hot key.
     """
-    if salts <= 1:
-        return df.repartition(key)
-    return df.repartition(key, F.pmod(F.xxhash64(*[f"`{c}`" for c in df.columns]), F.lit(salts)))
+    return df.hint("rebalance", *keys)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, key: str, salts: int = 1) -> None:
-    """One folder per key with at most ``salts`` files of each write task.
+def write_partitioned(df: DataFrame, path: str, key: str) -> None:
+    """One folder per key."""
+    _together(df, key).write.mode("overwrite").option("compression", "snappy").partitionBy(key).parquet(path)
 
-    ``salts=0`` writes from the present partitioning without a shuffle.
-    """
-    spread = df if salts == 0 else _spread(df, key, salts)
-    spread.write.mode("overwrite").option("compression", "snappy").partitionBy(key).parquet(path)
+
+def write_by_symbol(df: DataFrame, path: str) -> None:
+    write_partitioned(df, path, "Stock_symbol")
 
 
-def write_by_symbol(df: DataFrame, path: str, salts: int = 1) -> None:
-    write_partitioned(df, path, "Stock_symbol", salts)
+def write_by_sector(df: DataFrame, path: str) -> None:
+    write_partitioned(df, path, "category")
 
 
-def write_by_sector(df: DataFrame, path: str, salts: int = 32) -> None:
-    """Sectors are few and large, so each is written by several tasks."""
-    write_partitioned(df, path, "category", salts)
+def write_model_set(df: DataFrame, path: str) -> None:
+    """The model set in (sector, date) order over all files, so that a fold's
+    sector and date range skips most files and row groups."""
+    keys = ["category", "Date", "Stock_symbol"]
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def export_sector_csv(df: DataFrame, path: str, salts: int = 1) -> None:
+def export_sector_csv(df: DataFrame, path: str) -> None:
     """One folder of CSV per sector in a single pass; ``category`` stays a column."""
-    spread = _spread(df, "category", salts).withColumn("sector", F.col("category"))
-    spread.write.mode("overwrite").option("header", True).option("escape", '"').partitionBy("sector").csv(path)
+    copied = _together(df, "category").withColumn("sector", F.col("category"))
+    copied.write.mode("overwrite").option("header", True).option("escape", '"').partitionBy("sector").csv(path)
 
 
 def export_results_csv(results: DataFrame, path: str) -> None:
