@@ -23,36 +23,42 @@ WINDOW_DAYS = 252
 
 
 def zscores_on(df: DataFrame, w: WindowSpec, features: Sequence[str], window: int) -> DataFrame:
-    keys = ", ".join(c for c in (SYMBOL, "_block") if c in df.columns)
-    heads = f"OVER (PARTITION BY {keys}, _chunk ORDER BY _pos ROWS UNBOUNDED PRECEDING)"
-    tails = f"OVER (PARTITION BY {keys}, _chunk ORDER BY _pos DESC ROWS UNBOUNDED PRECEDING)"
-    in_order = f"OVER (PARTITION BY {keys} ORDER BY _pos)"
-
-    def moments(f: str, kind: str, over: str, rows: str) -> list[str]:
+    keys = [c for c in (SYMBOL, "_block") if c in df.columns]
+    rest = [c for c in df.columns if c not in (*keys, *features)]
+    by = ", ".join(keys)
+    heads = f"OVER (PARTITION BY {by}, _chunk ORDER BY _pos ROWS UNBOUNDED PRECEDING)"
+    tails = f"OVER (PARTITION BY {by}, _chunk ORDER BY _pos DESC ROWS UNBOUNDED PRECEDING)"
+    # Same order as by _pos alone, and the one that the heads are sorted in.
+    in_order = f"OVER (PARTITION BY {by} ORDER BY _chunk, _pos)"
+
+    def moments(f: str, over: str, rows: str) -> list[str]:
         # The mean is NULL unless every row so far holds a value.
-        return [
-            f"CASE WHEN count({f}) {over} = {rows} THEN avg({f}) {over} END AS _{kind}_mean_{f}",
-            f"var_pop({f}) {over} AS _{kind}_var_{f}",
-        ]
+        return [f"CASE WHEN count({f}) {over} = {rows} THEN avg({f}) {over} END AS _mean_{f}", f"var_pop({f}) {over} AS _var_{f}"]
+
+    def all_moments(over: str, rows: str) -> list[str]:
+        return [e for f in features for e in moments(f, over, rows)]
 
     def score(f: str) -> str:
-        n, m = "_head", f"({window} - _head)"
-        mean = f"IF(_head = {window}, _h_mean_{f}, ({n} * _h_mean_{f} + {m} * _t_mean_{f}) / {window})"
-        step = f"(_h_mean_{f} - _t_mean_{f})"
-        m2 = f"IF(_head = {window}, 0, {m} * _t_var_{f} + {step} * {step} * {n} * {m} / {window}) + {n} * _h_var_{f}"
+        n, m, tail = "_head", f"({window} - _head)", f"_tail._mean_{f}"
+        mean = f"IF(_head = {window}, _mean_{f}, ({n} * _mean_{f} + {m} * {tail}) / {window})"
+        step = f"(_mean_{f} - {tail})"
+        m2 = f"IF(_head = {window}, 0, {m} * _tail._var_{f} + {step} * {step} * {n} * {m} / {window}) + {n} * _var_{f}"
         return f"({f} - {mean}) / (sqrt(({m2}) / {window - 1}) + {EPSILON}D) AS {f}_z"
 
-    panel = df.columns
-    parts = [f"_t_{m}_{f}" for f in features for m in ("mean", "var")]
+    # The columns that only pass through, and the tails' moments, travel as
+    # one struct each: every window copies its rows column by column.
+    carried = [*keys, "_rest", *features, "_pos", "_chunk", "_head"]
+    tail = ", ".join(f"_mean_{f}, _var_{f}" for f in features)
+    whole_row = [f"_rest.`{c}`" if c in rest else c for c in df.columns]
     return (
         df.withColumn("_pos", F.row_number().over(w) - 1)
-        .selectExpr("*", f"_pos div {window} AS _chunk", f"_pos % {window} + 1 AS _head")
-        .selectExpr("*", *[e for f in features for e in moments(f, "t", tails, f"({window + 1} - _head)")])
-        .selectExpr(
-            *[f"`{c}`" for c in panel], "_pos", "_chunk", "_head", *[f"lag({c}, {window - 1}) {in_order} AS {c}" for c in parts]
-        )
-        .selectExpr("*", *[e for f in features for e in moments(f, "h", heads, "_head")])
-        .selectExpr(*[f"`{c}`" for c in panel], *[score(f) for f in features])
+        .withColumn("_rest", F.struct(*[f"`{c}`" for c in rest]))
+        .selectExpr(*keys, "_rest", *features, "_pos", f"_pos div {window} AS _chunk", f"_pos % {window} + 1 AS _head")
+        .selectExpr(*carried, *all_moments(tails, f"({window + 1} - _head)"))
+        .selectExpr(*carried, f"struct({tail}) AS _tail")
+        .selectExpr(*carried, f"lag(_tail, {window - 1}) {in_order} AS _tail")
+        .selectExpr(*carried, "_tail", *all_moments(heads, "_head"))
+        .selectExpr(*whole_row, *[score(f) for f in features])
     )
 
 

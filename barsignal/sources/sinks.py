@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barsignal.session import materialize
+
 
 
 def _together(df: DataFrame, *keys: str) -> DataFrame:
@@ -36,9 +38,14 @@ def write_by_sector(df: DataFrame, path: str) -> None:
 
 def write_model_set(df: DataFrame, path: str) -> None:
     """The model set in (sector, date) order over all files, so that a fold's
-    sector and date range skips most files and row groups."""
+    sector and date range skips most files and row groups.
+
+    Range partitioning samples its input first; the rows are written before
+    it, so that their windows are computed once.
+    """
     keys = ["category", "Date", "Stock_symbol"]
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    staged = materialize(df, "model_set_staged")
+    ordered = staged.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ordered.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
