@@ -12,7 +12,10 @@ from barsignal.operators.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
 
 START, END = "1996-01-01", "1999-12-31"
 PLACES = 6
-PLACES_OF = {"Sent_MA5": 12}
+# Averages of exact 128ths have short decimals: round beyond them, not at a tie.
+PLACES_OF = dict.fromkeys(
+    ("negative", "neutral", "positive", "Sent_Net", "Sent_MA5", "Sent_Mom5", "Sent_Lag3"), 12
+)
 
 CTES: dict[str, str] = {
     "lines": """
@@ -167,8 +170,8 @@ def with_tables(body: str, *extra: tuple[str, str]) -> str:
 
 def r(x: str, alias: str | None = None, places: int = PLACES) -> str:
     """Rounded column; adding 0 turns a negative zero into zero."""
+    places = PLACES_OF.get(x, places)  # of plain columns, not of expressions
     alias = alias or x
-    places = PLACES_OF.get(alias, places)
     return f'round({x}, {places}) + 0 as "{alias.strip(chr(34))}"'
 
 

@@ -24,8 +24,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 START, END = "1996-01-01", "1999-12-31"
 KEY = ("Stock_symbol", "Date")
 PLACES = 6
-# Fifths of 128ths have short decimals: round beyond them, not at a tie.
-PLACES_OF = {"Sent_MA5": 12}
+# Averages of exact 128ths have short decimals: round beyond them, not at a tie.
+PLACES_OF = dict.fromkeys(
+    ("negative", "neutral", "positive", "Sent_Net", "Sent_MA5", "Sent_Mom5", "Sent_Lag3"), 12
+)
 
 # Walk-forward with few, long folds and few rounds; the defaults are the
 # reference lengths of 252 and 21 days and 400 rounds.
@@ -105,14 +107,14 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.all_metrics(predictions(spark, sf_dir), ["fold"]).join(per_fold, "fold").withColumn("test_start", start)
 
 
-def shown(df: DataFrame, *columns: str, places: int = PLACES) -> DataFrame:
+def shown(df: DataFrame, *columns: str, places: int = PLACES, places_of: dict[str, int] = PLACES_OF) -> DataFrame:
     """Chosen columns with dates as text and doubles rounded, for comparison."""
     types = dict(df.dtypes)
 
     def cell(c: str) -> Column:
         x = F.col(f"`{c}`")
         if types[c] == "double":
-            x = F.round(x, PLACES_OF.get(c, places))
+            x = F.round(x, places_of.get(c, places))
         elif types[c] in ("date", "timestamp"):
             x = x.cast("date").cast("string")
         return x.alias(c)
@@ -406,7 +408,7 @@ def _(spark, sf_dir):
 @query("score_lexicon")
 def _(spark, sf_dir):
     documents = standins.table(spark, sf_dir, "documents")
-    return shown(sentiment.score_lexicon(documents, "doc_id", "text"), places=8)
+    return shown(sentiment.score_lexicon(documents, "doc_id", "text"), places=8, places_of={})
 
 
 def lexicon_scorer():
@@ -430,7 +432,7 @@ def lexicon_scorer():
 @query("score_sentiment")
 def _(spark, sf_dir):
     documents = standins.table(spark, sf_dir, "documents")
-    return shown(sentiment.score_sentiment(documents, lexicon_scorer, "doc_id", "text"), places=8)
+    return shown(sentiment.score_sentiment(documents, lexicon_scorer, "doc_id", "text"), places=8, places_of={})
 
 
 @query("scan_parquet_batches")
@@ -441,7 +443,7 @@ def _(spark, sf_dir):
     scored = sentiment.score_sentiment(files.scan_parquet(spark, path), lexicon_scorer)
     return shown(scored.groupBy("predicted_sentiment").agg(
         F.count(F.lit(1)).alias("rows"), F.avg("positive").alias("positive")
-    ), places=8)
+    ), places=8, places_of={})
 
 
 # Labels, features, z-scores -----------------------------------------------
@@ -638,7 +640,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     logits = [F.col("value") / 50, F.lit(1.0), (F.col("event_id") % 10).cast("double") / 4]
     columns = [p.alias(n) for p, n in zip(scalars.softmax(logits), SCORES)]
-    return shown(standins.table(spark, sf_dir, "events").select("event_id", *columns), places=8)
+    return shown(standins.table(spark, sf_dir, "events").select("event_id", *columns), places=8, places_of={})
 
 
 @query("argmax_label")
