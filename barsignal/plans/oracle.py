@@ -170,7 +170,8 @@ def with_tables(body: str, *extra: tuple[str, str]) -> str:
 
 def r(x: str, alias: str | None = None, places: int = PLACES) -> str:
     """Rounded column; adding 0 turns a negative zero into zero."""
-    places = PLACES_OF.get(x, places)  # of plain columns, not of expressions
+    if alias is None:  # a column under its own name
+        places = PLACES_OF.get(x, places)
     alias = alias or x
     return f'round({x}, {places}) + 0 as "{alias.strip(chr(34))}"'
 
