@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +15,15 @@ SESSION_CONF = {
     # Window stages are heavy per byte: let small inputs still use every core.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Window partitions can be merged at run time but not split: start high.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
-# Stand-in for the shared folder, per local application.
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to a session."""
-    for key, value in SESSION_CONF.items():
+    conf = SESSION_CONF if spark.sparkContext.master.startswith("local") else {**CLUSTER_CONF, **SESSION_CONF}
+    for key, value in conf.items():
         spark.conf.set(key, value)
     return spark
 
@@ -36,21 +34,16 @@ def get_spark(app: str = "barsignal", master: str | None = None, **conf: str) ->
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine:
-    on a cluster the executors could not read one another's files there.
+    Without that setting it lies in the warehouse folder, which driver and
+    executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        root = _LOCAL_ROOTS.get(app) or _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="barsignal-"))
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -8,23 +8,22 @@ spreads over the cluster.
 from __future__ import annotations
 
 import io
-import re
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsignal.functions.scalars import is_csv_member, path_stem
 from barsignal.sources.files import PRICE_COLUMNS
+from barsignal.sources.paths import arrow_path
 
 LINES_PER_BATCH = 10_000
 
 
 def _open_archive(path: str) -> zipfile.ZipFile:
-    fs, name = pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    fs, name = arrow_path(path)
     return zipfile.ZipFile(fs.open_input_file(name))
 
 
@@ -71,10 +70,17 @@ def list_archive_members(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def archive_ingest(spark: SparkSession, path: str, universe: DataFrame, columns=PRICE_COLUMNS) -> DataFrame:
-    """Rows, as strings, of the members whose stem is a symbol of the universe."""
+def archive_ingest(
+    spark: SparkSession, path: str, universe: DataFrame, columns=PRICE_COLUMNS, parallelism: int | None = None
+) -> DataFrame:
+    """Rows, as strings, of the members whose stem is a symbol of the universe.
+
+    The members are dealt to ``parallelism`` tasks (default: the cluster's
+    default parallelism), a number that adaptive execution leaves alone.
+    """
+    parallelism = parallelism or spark.sparkContext.defaultParallelism
     wanted = list_archive_members(spark, path).join(universe.select("Stock_symbol"), "Stock_symbol", "left_semi")
-    lines = wanted.repartition("archive", "member").mapInPandas(
+    lines = wanted.repartition(parallelism, "archive", "member").mapInPandas(
         _read_members, "archive string, member string, Stock_symbol string, line_no long, line string"
     )
     ddl = ", ".join(f"`{name}` string" for name in columns)

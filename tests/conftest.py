@@ -9,9 +9,10 @@ from barsignal.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_spark("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",
