@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsignal.llm import packing, token_output
-from barsignal.llm.common import table
+from barsignal.llm import language, minhash, packing, quality, token_output
+from barsignal.llm.common import fold_of, table
 from barsignal.llm.tokens import vocabulary_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,9 +23,28 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, with_ids=False).drop("ids")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.with_language(docs, language.learn_language(docs))
+    return found.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.with_quality(docs, quality.learn_quality(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_output": op4_token_output,
+    "op8_language_id": op8_language_id,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 SQL: dict[str, str] = {}
