@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barsignal.session import configure, materialize
 
 # Rows of an Arrow batch: documents may hold 20,000 words each.
-BATCH_ROWS = 512
+BATCH_ROWS = 1024
 SAMPLE_SEED = 7
 
 
