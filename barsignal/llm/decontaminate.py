@@ -214,6 +214,17 @@ class BenchmarkIndex:
             out[block[doc][0]].extend((i, start, covered, edits) for i in self.ids[item])
 
 
+def _searched(index):
+    @F.pandas_udf(HITS)
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names = ("item_id", "start_word", "n_words", "edits")
+        for batch in batches:
+            found = index.value.search(batch.tolist())
+            yield pd.Series([[dict(zip(names, h, strict=True)) for h in hits] for hits in found], dtype=object)
+
+    return search
+
+
 def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """``docs`` with ``hits``: (item_id, start_word, n_words, edits) of every benchmark item in the whole text.
 
@@ -232,14 +243,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_te
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
         index = spark.sparkContext.broadcast(BenchmarkIndex(sorted((r["item_id"], r["_t"]) for r in rows)))
 
-        @F.pandas_udf(HITS)
-        def search(batches: Iterator[pd.Series], index=index) -> Iterator[pd.Series]:
-            names = ("item_id", "start_word", "n_words", "edits")
-            for batch in batches:
-                found = index.value.search(batch.tolist())
-                yield pd.Series([[dict(zip(names, h, strict=True)) for h in hits] for hits in found], dtype=object)
-
-        out = out.withColumn("hits", F.concat("hits", search(F.col(text))))
+        out = out.withColumn("hits", F.concat("hits", _searched(index)(F.col(text))))
     return out.withColumn("hits", F.array_sort("hits"))
 
 

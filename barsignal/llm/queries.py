@@ -5,14 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barsignal.llm import language, minhash, packing, quality, token_output
+from barsignal.llm import (
+    decontaminate, embedding_dedup, html_text, language, line_dedup, minhash, packing, quality, token_output,
+)
 from barsignal.llm.common import fold_of, table
 from barsignal.llm.tokens import vocabulary_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary_file(), with_ids=False)
     return packing.pack(pieces.drop("ids"))
@@ -23,6 +35,15 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, with_ids=False).drop("ids")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.with_language(docs, language.learn_language(docs))
@@ -40,8 +61,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_output": op4_token_output,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
