@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsignal.llm import (
-    decontaminate, embedding_dedup, html_text, language, line_dedup, minhash, packing, quality, token_output,
+    decontaminate, embedding_dedup, html_text, language, line_dedup, minhash, packing, quality, token_output, toxicity,
 )
 from barsignal.llm.common import fold_of, table
 from barsignal.llm.tokens import vocabulary_file
@@ -35,6 +35,12 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(index, with_ids=False).drop("ids")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.with_toxicity(docs, toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -65,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_output": op4_token_output,
+    "op5_toxicity": op5_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
