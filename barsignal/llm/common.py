@@ -35,19 +35,26 @@ def fold_of(key: str | Column, folds: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int, text: str = "text", key: str = "doc_id"
-) -> list[tuple[str, object]]:
-    """At most ``rows`` (text, label) pairs of labelled documents, by a hash of the id.
-
-    ``keep`` is a condition on the key. The bound is the caller's documented
-    parameter; the rows taken do not depend on partitions or order. Several
-    labels of an id count as its largest.
+    docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int, text: str = "text", key: str = "doc_id",
+    classes: tuple | None = None,
+) -> tuple[list[tuple[str, object]], dict]:
+    """At most ``rows`` (text, label) pairs of labelled documents, by a hash of the id, and the rows of each label.
+
+    ``keep`` is a condition on the key. With ``classes`` each of them gets an
+    equal share of the rows. The bound is the caller's documented parameter;
+    the rows taken do not depend on partitions or order. Several labels of an
+    id count as its largest.
     """
-    ids = (
-        labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & keep)
-        .groupBy(key).agg(F.max(label).alias("_label"))
-        .orderBy(F.xxhash64(F.col(key), F.lit(SAMPLE_SEED)), key).limit(rows)
-    )
+    order = (F.xxhash64(F.col(key), F.lit(SAMPLE_SEED)), F.col(key))
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & keep).groupBy(key).agg(F.max(label).alias("_label"))
+    if classes:
+        parts = [known.where(F.col("_label") == c).orderBy(*order).limit(rows // len(classes)) for c in classes]
+        ids = parts[0]
+        for part in parts[1:]:
+            ids = ids.union(part)
+        counts = {r["_label"]: r["n"] for r in known.where(F.col("_label").isin(*classes)).groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    else:
+        ids, counts = known.orderBy(*order).limit(rows), {}
     texts = docs.where(F.col(text).isNotNull()).select(F.col(key), F.col(text).alias("_text"))
-    found = texts.join(F.broadcast(ids), key).orderBy(F.xxhash64(F.col(key), F.lit(SAMPLE_SEED)), key, "_text").limit(rows)
-    return [(r["_text"], r["_label"]) for r in found.select("_text", "_label").collect()]
+    found = texts.join(F.broadcast(ids), key).orderBy(*order, "_text").limit(rows)  # at most ``rows`` ids
+    return [(r["_text"], r["_label"]) for r in found.select("_text", "_label").collect()], counts

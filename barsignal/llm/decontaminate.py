@@ -225,33 +225,34 @@ def _searched(index):
     return search
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
-    """``docs`` with ``hits``: (item_id, start_word, n_words, edits) of every benchmark item in the whole text.
+def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", per_block: int = ITEMS_PER_BLOCK, name: str = "hits") -> DataFrame:
+    """``docs`` with ``hits`` (or ``name``): (item_id, start_word, n_words, edits) of every benchmark item in the whole text.
 
     An item is in a text if some stretch of the text's words is within a
     quarter of the item's words in edits (equal for items under 8 words). Of
     each item the closest, then the earliest stretch is named; hits are
     ordered by item. Null texts have none; null items and items without words
-    are in no text; repeated items are all named. A column ``hits`` is replaced.
+    are in no text; repeated items are all named. A column of that name is replaced.
     Items are searched in blocks of about ``per_block``.
     """
     spark = docs.sparkSession
     items = benchmark.where(F.col("item_id").isNotNull() & F.col(item_text).isNotNull()).select("item_id", F.col(item_text).alias("_t")).distinct()
     blocks = max(1, -(-items.count() // per_block))
-    out = docs.withColumn("hits", F.array().cast(HITS))
+    out = docs.withColumn(name, F.array().cast(HITS))
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
         index = spark.sparkContext.broadcast(BenchmarkIndex(sorted((r["item_id"], r["_t"]) for r in rows)))
 
-        out = out.withColumn("hits", F.concat("hits", _searched(index)(F.col(text))))
-    return out.withColumn("hits", F.array_sort("hits"))
+        out = out.withColumn(name, F.concat(name, _searched(index)(F.col(text))))
+    return out.withColumn(name, F.array_sort(name))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and item found in it; documents without one have no row."""
-    return with_hits(docs, benchmark, text).select(F.col(key), F.explode("hits").alias("_h")).select(key, "_h.*")
+    found = with_hits(docs.select(key, text), benchmark, text)
+    return found.select(F.col(key), F.explode("hits").alias("_h")).select(key, "_h.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no benchmark item."""
-    return with_hits(docs, benchmark, text).where(F.size("hits") == 0).drop("hits")
+    return with_hits(docs, benchmark, text, name="_benchmark_hits").where(F.size("_benchmark_hits") == 0).drop("_benchmark_hits")

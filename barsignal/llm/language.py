@@ -121,7 +121,7 @@ def fit_language(sample: list[tuple[str, str]], landmarks: int = LANDMARKS) -> L
 
 def learn_language(docs: DataFrame, folds: int = 4, held_out: int = 2, rows: int = SAMPLE_ROWS, lang: str = "lang") -> LanguageModel:
     """Fits on at most ``rows`` documents with a language whose crc32(doc_id) mod ``folds`` is not ``held_out``."""
-    return fit_language(labelled_sample(docs, docs, lang, fold_of("doc_id", folds) != held_out, rows))
+    return fit_language(labelled_sample(docs, docs, lang, fold_of("doc_id", folds) != held_out, rows)[0])
 
 
 def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

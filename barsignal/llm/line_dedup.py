@@ -103,15 +103,15 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id",
     line, a null key sorts first, repeated rows get the same result. Columns
     named n_lines or n_removed are replaced.
     """
-    gone = repeated_lines(docs, min_words, key, text)
+    gone = repeated_lines(docs, min_words, key, text).toDF("_dup_doc", "_dup_copy", "_dup_lines")
     base = docs.withColumn("_copy_of", F.xxhash64(text))
-    joined = base.join(gone, F.col(key).eqNullSafe(gone["_doc"]) & (F.col("_copy_of") == gone["_copy"]), "left")
+    joined = base.join(gone, F.col(key).eqNullSafe(F.col("_dup_doc")) & (F.col("_copy_of") == F.col("_dup_copy")), "left")
     lines = F.split(F.col(text), "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_dup_lines", i)), "\n")
     counted = F.coalesce(F.size(F.filter(lines, lambda x: _trimmed(x) != "")), F.lit(0))
     return (
         joined.withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(counted).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
-        .withColumn(text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept))
-        .drop("_copy_of", "_doc", "_copy", "gone")
+        .withColumn("n_removed", F.coalesce(F.size("_dup_lines"), F.lit(0)).cast("long"))
+        .withColumn(text, F.when(F.col("_dup_lines").isNull(), F.col(text)).otherwise(kept))
+        .drop("_copy_of", "_dup_doc", "_dup_copy", "_dup_lines")
     )

@@ -277,5 +277,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those whose component has a smaller doc_id; all columns stay."""
-    gone = near_duplicates(docs, key, text).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    gone = near_duplicates(docs, key, text).where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct()
+    return docs.join(gone, F.col(key) == F.col("_gone_id"), "left_anti")

@@ -120,7 +120,7 @@ def learn_quality(
     docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, rows: int = SAMPLE_ROWS, label: str = "quality"
 ) -> QualityModel:
     """Fits on at most ``rows`` labelled documents whose crc32(doc_id) mod ``folds`` is not ``held_out``."""
-    return fit_quality(labelled_sample(docs, labels, label, fold_of("doc_id", folds) != held_out, rows))
+    return fit_quality(labelled_sample(docs, labels, label, fold_of("doc_id", folds) != held_out, rows)[0])
 
 
 def quality_score(model: QualityModel, text: Column) -> Column:

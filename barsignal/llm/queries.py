@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from barsignal.llm import (
     decontaminate, embedding_dedup, html_text, language, line_dedup, minhash, packing, quality, token_output, toxicity,
 )
@@ -77,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {}

@@ -114,8 +114,12 @@ def _windows(n: int, draw: np.random.Generator) -> np.ndarray:
     return starts if len(starts) <= TRAIN_WINDOWS else np.sort(draw.choice(starts, TRAIN_WINDOWS, replace=False))
 
 
-def fit_toxicity(sample: list[tuple[str, int]], seed: int = 3, epochs: int = EPOCHS) -> ToxicityModel:
-    """Trains on (text, label) pairs. Without both labels the score is the smoothed share of label 1."""
+def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None = None, seed: int = 3, epochs: int = EPOCHS) -> ToxicityModel:
+    """Trains on (text, label) pairs. Without both labels the score is the smoothed share of label 1.
+
+    ``counts`` of all labelled rows by label move the scores from the share
+    of label 1 in the sample to that among all.
+    """
     draw = np.random.default_rng(seed)
     y = np.array([float(v) for _, v in sample])
     data, starts, ends, bounds = batch_words([text_bytes(t.lower()) for t, _ in sample], "mark")
@@ -176,6 +180,8 @@ def fit_toxicity(sample: list[tuple[str, int]], seed: int = 3, epochs: int = EPO
             words, mask = batch(chosen_docs[part], chosen[part])
             _step(p, adam, place, slots, starts, ends, words, mask, y[chosen_docs[part]].astype(np.float32))
     model.chars_of_known = _known_chars(model, data, starts, ends, hashes)
+    if counts:
+        p["base"] += np.log(counts.get(1, 0) + 1) - np.log(counts.get(0, 0) + 1) - np.log(y.sum() + 1) + np.log((1 - y).sum() + 1)
     return model
 
 
@@ -218,8 +224,9 @@ def _step(p, adam, place, slots, starts, ends, words, mask, y) -> float:
 def learn_toxicity(
     docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, rows: int = SAMPLE_ROWS, label: str = "toxic"
 ) -> ToxicityModel:
-    """Fits on at most ``rows`` labelled documents whose crc32(doc_id) mod ``folds`` is not ``held_out``."""
-    return fit_toxicity(labelled_sample(docs, labels, label, fold_of("doc_id", folds) != held_out, rows))
+    """Fits on at most ``rows`` labelled documents whose crc32(doc_id) mod ``folds`` is not ``held_out``, half of each label."""
+    sample, counts = labelled_sample(docs, labels, label, fold_of("doc_id", folds) != held_out, rows, classes=(1, 0))
+    return fit_toxicity(sample, counts)
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
