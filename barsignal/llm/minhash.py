@@ -7,11 +7,13 @@ estimates the Jaccard index; what may reach the threshold is confirmed on the
 full shingle sets.
 
 Documents of one shingle set are one class. A band's bucket never yields all
-its pairs: first every member meets the bucket's smallest class; then, only in
-buckets that still hold several components, members outside the largest one
-meet the others in blocks of bounded size, the likeliest pairs of each two
-components first and the remaining ones after. Every pair of a bucket is thus
-confirmed, refuted, estimated out of reach, or already connected.
+its pairs: first every member meets the bucket's hub, the class that meets most
+others over all buckets (the original of many copies, as a rule); then, only
+in buckets that still hold several components, members outside the largest one
+meet all members in blocks of bounded size, where pairs in reach are confirmed
+from the likeliest on until their components have met. A pair is tried in the
+first band it shares. Every pair of a bucket is thus confirmed, refuted,
+estimated out of reach, or already connected.
 """
 
 from __future__ import annotations
@@ -148,67 +150,83 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         good = []
         for a, b, ta, tb in zip(batch["a"], batch["b"], batch["ta"], batch["tb"], strict=True):
-            x, y = of(a, ta), of(b, tb)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(both > 0 and DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
+            good.append(_near(of(a, ta), of(b, tb)))
         yield batch.loc[np.array(good, bool), ["a", "b"]]
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs confirmed on the full sets of both texts."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id")
-    wanted = shared(texts.join(ids, "doc_id", "left_semi"), "pair_texts")
-    joined = pairs.join(wanted.toDF("a", "ta"), "a").join(wanted.toDF("b", "tb"), "b")
+    joined = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return joined.mapInPandas(_confirm, "a long, b long").distinct()
 
 
-def _likely(most: int | None):
-    """Pairs of different components inside blocks, at most ``most`` for each two components."""
-    def of_group(group: pd.DataFrame) -> list[tuple[int, int]]:
-        mine, others = group[group["_out"]], group[~group["_out"]]
-        if not len(mine):
-            return []
-        both = pd.concat([mine, others]).drop_duplicates("rep")
-        p, q = (np.frombuffer(b"".join(x["registers"]), "<u2").reshape(-1, REGISTERS) for x in (mine, both))
-        share = np.zeros((len(p), len(q)), np.int16)
-        for k in range(REGISTERS):
-            share += p[:, k, None] == q[None, :, k]
-        n, m = np.meshgrid(mine["n_shingles"], both["n_shingles"], indexing="ij")
-        fits = (DENOMINATOR * np.minimum(n, m) >= NUMERATOR * np.maximum(n, m)) & (share >= REACH * REGISTERS)
-        ca, cb = mine["comp"].to_numpy(), both["comp"].to_numpy()
-        fits &= ca[:, None] != cb[None]
-        rows, cols = np.nonzero(fits)
-        if not len(rows):
-            return []
-        guess = estimate(share[rows, cols] / REGISTERS, n[rows, cols], m[rows, cols])
-        rows, cols, guess = rows[guess >= REACH], cols[guess >= REACH], guess[guess >= REACH]
-        a, b = mine["rep"].to_numpy()[rows], both["rep"].to_numpy()[cols]
-        found = pd.DataFrame({
-            "a": np.minimum(a, b), "b": np.maximum(a, b), "g": -guess,
-            "x": np.minimum(ca[rows], cb[cols]), "y": np.maximum(ca[rows], cb[cols]),
-        }).drop_duplicates(["a", "b"])
-        if most is not None:
-            found = found.sort_values(["g", "a", "b"]).groupby(["x", "y"]).head(most)
-        return list(zip(found["a"], found["b"], strict=True))
-
-    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        keys = ["bucket", "_block", "_chunk"]
-        for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            cuts = np.flatnonzero((batch[keys].to_numpy()[1:] != batch[keys].to_numpy()[:-1]).any(1)) + 1
-            ends = [0, *cuts.tolist()]
-            yield pd.DataFrame([p for s, e in zip(ends, ends[1:], strict=False) for p in of_group(batch.iloc[s:e])], columns=["a", "b"])
-            rest = batch.iloc[ends[-1] :]
-        if rest is not None and len(rest):
-            yield pd.DataFrame(of_group(rest), columns=["a", "b"])
-
-    return of_batches
-
-
-def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, most: int | None) -> DataFrame:
-    """Likely pairs between components that share a bucket."""
-    now = members.join(comps.toDF("rep", "_comp"), "rep", "left").select("bucket", "rep", F.coalesce("_comp", "rep").alias("comp"))
+def _links_of_block(group: pd.DataFrame) -> list[tuple[int, int]]:
+    """Links between components, of members outside the bucket's largest one with all members of the block."""
+    mine, others = group[group["_out"]], group[~group["_out"]]
+    if not len(mine):
+        return []
+    both = pd.concat([mine, others]).drop_duplicates("rep")
+    p, q = (np.frombuffer(b"".join(x["registers"]), "<u2").reshape(-1, REGISTERS) for x in (mine, both))
+    share, first = np.zeros((len(p), len(q)), np.int16), np.full((len(p), len(q)), BANDS, np.int16)
+    for band in range(BANDS - 1, -1, -1):
+        all_equal = np.ones(share.shape, bool)
+        for k in range(band * ROWS_PER_BAND, (band + 1) * ROWS_PER_BAND):
+            equal = p[:, k, None] == q[None, :, k]
+            share += equal
+            all_equal &= equal
+        first[all_equal] = band
+    n, m = np.meshgrid(mine["n_shingles"], both["n_shingles"], indexing="ij")
+    ca, cb = mine["comp"].to_numpy(), both["comp"].to_numpy()
+    fits = (DENOMINATOR * np.minimum(n, m) >= NUMERATOR * np.maximum(n, m)) & (share >= REACH * REGISTERS)
+    fits &= (ca[:, None] != cb[None]) & (first == group["band"].iloc[0])
+    rows, cols = np.nonzero(fits)
+    guess = estimate(share[rows, cols] / REGISTERS, n[rows, cols], m[rows, cols]) if len(rows) else np.empty(0)
+    order = [i for i in np.argsort(-guess, kind="stable") if guess[i] >= REACH]
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    sets: dict[str, np.ndarray] = {}
+    reps, texts, own, own_texts = both["rep"].to_numpy(), both["_text"].to_numpy(), mine["rep"].to_numpy(), mine["_text"].to_numpy()
+    out = []
+    for i in order:
+        x, y = find(ca[rows[i]]), find(cb[cols[i]])
+        if x == y:
+            continue
+        for text in (own_texts[rows[i]], texts[cols[i]]):
+            if text not in sets:
+                sets[text] = shingle_set(text)
+        if _near(sets[own_texts[rows[i]]], sets[texts[cols[i]]]):
+            root[max(x, y)] = min(x, y)
+            out.append((own[rows[i]], reps[cols[i]]))
+    return out
+
+
+def _near(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both)
+
+
+def _links_of_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rest = None
+    keys = ["bucket", "_block", "_chunk"]
+    for batch in batches:
+        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        cuts = np.flatnonzero((batch[keys].to_numpy()[1:] != batch[keys].to_numpy()[:-1]).any(1)) + 1
+        ends = [0, *cuts.tolist()]
+        yield pd.DataFrame([p for s, e in zip(ends, ends[1:], strict=False) for p in _links_of_block(batch.iloc[s:e])], columns=["a", "b"])
+        rest = batch.iloc[ends[-1] :]
+    if rest is not None and len(rest):
+        yield pd.DataFrame(_links_of_block(rest), columns=["a", "b"])
+
+
+def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that share a bucket."""
+    now = members.join(comps.toDF("rep", "_comp"), "rep", "left").select("bucket", "band", "rep", F.coalesce("_comp", "rep").alias("comp"))
     now = shared(now, "bucket_members")
     open_buckets = now.groupBy("bucket").agg(F.count("*").alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
     open_buckets = open_buckets.where("_lo <> _hi").select("bucket", "_n")
@@ -216,7 +234,8 @@ def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, most: int
         F.max(F.struct("_k", "comp")).alias("_main")
     )
     buckets = shared(open_buckets.join(sizes, "bucket").select("bucket", "_n", F.col("_main.comp").alias("_main"), (F.col("_n") - F.col("_main._k")).alias("_o")), "open_buckets")
-    here = now.join(buckets, "bucket").join(classes.select("rep", "n_shingles", "registers"), "rep")
+    sides = classes.select("rep", "n_shingles", "registers").join(texts.toDF("rep", "_text"), "rep")
+    here = now.join(buckets, "bucket").join(sides, "rep")
     here = here.withColumns({
         "_blocks": F.ceil(F.col("_n") / BLOCK).cast("int"), "_chunks": F.ceil(F.col("_o") / BLOCK).cast("int"),
         "_out": F.col("comp") != F.col("_main"),
@@ -224,11 +243,11 @@ def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, most: int
     def dealt(name):
         return F.pmod(F.xxhash64("rep", F.lit(name)), F.col(f"_{name}s")).cast("int")
 
-    columns = ["bucket", "rep", "comp", "n_shingles", "registers"]
+    columns = ["bucket", "band", "rep", "comp", "n_shingles", "registers", "_text"]
     own = here.select(*columns, F.lit(False).alias("_out"), dealt("block").alias("_block"), F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_chunk"))
     out = here.where("_out").select(*columns, "_out", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"), dealt("chunk").alias("_chunk"))
     keys = ["bucket", "_block", "_chunk"]
-    return own.unionByName(out).repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_likely(most), "a long, b long").distinct()
+    return own.unionByName(out).repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_links_of_blocks, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,23 +267,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.first("bands").alias("bands"),
         ), "classes",
     )
-    banded = classes.select("rep", F.explode("bands").alias("bucket"))
-    full = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("pivot"), F.bit_xor(F.xxhash64("rep")).alias("x")).where("n > 1")
-    # Buckets of the same members say the same.
-    full = shared(full.groupBy("n", "pivot", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "pivot"), "buckets")
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
+    full = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("band").alias("band"), F.min("rep").alias("_r"), F.bit_xor(F.xxhash64("rep")).alias("x")).where("n > 1")
+    # Buckets of the same members say the same: the one of the first band stands for them.
+    full = full.groupBy("n", "_r", "x").agg(F.min(F.struct("band", "bucket")).alias("_b"))
+    full = shared(full.select("_b.bucket", "n"), "buckets")
     members = shared(banded.join(full, "bucket").distinct(), "members")
-    pairs = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = shared(_in_reach(pairs, classes), "pairs")
+    degrees = shared(members.groupBy("rep").agg(F.sum("n").alias("_d")), "degrees")
+    ranked = members.join(degrees, "rep").groupBy("bucket").agg(F.max(F.struct("_d", (-F.col("rep")).alias("_m"))).alias("_hub"))
+    hubs = shared(ranked.select("bucket", (-F.col("_hub._m")).alias("hub")), "hubs")
+    pairs = members.join(hubs, "bucket").where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
+    tried = _in_reach(pairs, classes)
+    # Only classes that share a bucket can be asked for again.
+    texts = shared(texts.join(degrees.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "candidate_texts")
     links = shared(_verified(tried, texts), "links")
-    for most in (8, None):
-        comps = components(links)
-        likely = shared(_between(members.select("bucket", "rep"), comps, classes, most), "likely")
-        if likely.isEmpty():
-            break
-        more = shared(likely.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            links = shared(links.union(_verified(more, texts)), "links")
-            tried = shared(tried.union(more), "pairs")
+    links = links.union(shared(_between(members.select("bucket", "band", "rep"), components(links), classes, texts), "more_links"))
     # Copies link with their class, rows of one doc_id with one another.
     same = known.join(classes.select("set_id", "rep"), "set_id").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     comps = components(links.union(same)).toDF("doc_id", "component_id")
