@@ -41,11 +41,7 @@ def _whole(x: Column, kind: str) -> Column:
 
 def argmax_label(positive: Column, neutral: Column, negative: Column) -> Column:
     """Largest of three averages; a tie goes to positive, then to neutral."""
-    return (
-        F.when((positive >= neutral) & (positive >= negative), "positive")
-        .when((neutral >= positive) & (neutral >= negative), "neutral")
-        .otherwise("negative")
-    )
+    return argmax_article([positive, neutral, negative], ("positive", "neutral", "negative"))
 
 
 def softmax(logits: list[Column]) -> list[Column]:

@@ -35,10 +35,11 @@ def typed_prices(raw: DataFrame) -> DataFrame:
 
 
 def typed_news(raw: DataFrame) -> DataFrame:
-    """Article number and day. The day is that of the session zone: use UTC."""
+    """Article number and day. The day is that of UTC, whatever the session's zone."""
+    seconds = F.unix_seconds(F.try_to_timestamp(F.col("Date"), F.lit(NEWS_DATE_FORMAT)))
     return raw.withColumns({
-        "No": to_int_or_null(F.col("No")),
-        "Date": to_date_or_null(F.col("Date"), NEWS_DATE_FORMAT),
+        "No": to_int_or_null(F.col("No"), "bigint"),
+        "Date": F.date_from_unix_date(F.floor(seconds / 86400).cast("int")),
     })
 
 

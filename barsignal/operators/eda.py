@@ -25,7 +25,7 @@ def row_count(df: DataFrame) -> DataFrame:
 def sector_counts(df: DataFrame) -> DataFrame:
     """Rows per category, with the number of categories beside."""
     counts = df.groupBy("category").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.withColumn("categories", df.agg(F.countDistinct("category")).scalar())
+    return counts.withColumn("categories", F.count("category").over(Window.partitionBy()))
 
 
 def distinct_symbols(df: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their share in percent, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("count").over(Window.partitionBy())  # of the counts: one row per value
     return counts.withColumn("percent", div(F.col("count"), total) * 100).orderBy(F.desc("count"), column)
 
 

@@ -11,15 +11,16 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsignal.functions.scalars import format_model_name, parse_model_name, threshold
+from barsignal.functions.scalars import format_model_name, sector_key, threshold
 from barsignal.operators.features import FEATURES
 from barsignal.operators.folds import TEST_DAYS, TRAIN_DAYS, fold_slice, fold_table, match_model
 from barsignal.operators.metrics import METRICS
@@ -46,6 +47,9 @@ PREDICTION_SCHEMA = T.StructType([
     T.StructField("y_pred", T.IntegerType()),
 ])
 STATUS_SCHEMA = "category string, fold int, status string, message string"
+REGISTRY_SCHEMA = "category string, model_path string, train_start date, train_end date, test_start date, test_end date"
+# Table of the saved models inside their folder.
+REGISTRY = "_registry"
 
 
 def z_columns(df: DataFrame) -> list[str]:
@@ -97,14 +101,21 @@ def _ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(work_dir(spark, "checkpoints"))
 
 
-def _each(work: Callable, items: list, parallelism: int) -> list:
+def _each(spark: SparkSession, work: Callable, items: list, parallelism: int | None) -> list:
+    """Runs ``work`` over the items in threads: by default one per four cores of the cluster."""
+    parallelism = parallelism or max(4, spark.sparkContext.defaultParallelism // 4)
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(work), items))
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
 
 
-def _score_folds(df: DataFrame, folds: list, model_of: Callable, parallelism: int) -> tuple[DataFrame, DataFrame]:
-    """Write each fold's predictions to a folder of its own; a failing fold is
-    reported in the status table and the others go on."""
+def _score_folds(
+    df: DataFrame, folds: list, model_of: Callable, parallelism: int | None, on_error: str
+) -> tuple[DataFrame, DataFrame]:
+    """Write each fold's predictions to a folder of its own. A failing fold
+    raises, or with ``on_error="skip"`` is reported in the status table while
+    the others go on."""
+    if on_error not in ("raise", "skip"):
+        raise ValueError("on_error is 'raise' or 'skip'")
     spark = df.sparkSession
     root = work_dir(spark, "predictions")
     columns = [f.name for f in PREDICTION_SCHEMA]
@@ -120,10 +131,12 @@ def _score_folds(df: DataFrame, folds: list, model_of: Callable, parallelism: in
             rows = predict(model, test).withColumn("fold", F.lit(fold.fold)).select(*columns)
             rows.write.mode("overwrite").parquet(f"{root}/{number}")
             return fold.category, fold.fold, "done", ""
-        except Exception as error:  # the remaining folds still run
-            return fold.category, fold.fold, "failed", f"{type(error).__name__}: {error}"[:500]
+        except Exception as error:
+            if on_error == "raise":
+                raise
+            return fold.category, fold.fold, "failed", f"{type(error).__name__}: {error}"
 
-    status = _each(run, list(enumerate(folds)), parallelism)
+    status = _each(spark, run, list(enumerate(folds)), parallelism)
     paths = [f"{root}/{number}" for number, s in enumerate(status) if s[2] == "done"]
     if paths:
         predictions = spark.read.schema(PREDICTION_SCHEMA).parquet(*paths)
@@ -138,42 +151,59 @@ def walk_forward(
     train_days: int = TRAIN_DAYS,
     test_days: int = TEST_DAYS,
     models_dir: str | None = None,
-    parallelism: int = 4,
+    parallelism: int | None = None,
+    on_error: str = "raise",
     **pipeline,
 ) -> tuple[DataFrame, DataFrame]:
     """Train on each fold's dates, score its test dates: (predictions, status).
 
     ``model_set`` should be a written table: every fold filters it by sector
     and date, which then prunes files. ``models_dir`` saves each fold's model
-    under ``<sector>/<model name>``.
+    under ``<sector>/<model name>`` and lists them in its registry table.
     """
     _ensure_checkpoints(model_set.sparkSession)
     name = format_model_name(*[F.col(c) for c in ("train_start", "train_end", "test_start", "test_end")])
     # One small row per sector and fold: the driver starts the fits from these.
-    folds = fold_table(model_set, train_days, test_days).withColumn("name", name).orderBy("category", "fold").collect()
+    named = fold_table(model_set, train_days, test_days).withColumns({"name": name, "folder": _folder(F.col("category"))})
+    folds = named.orderBy("category", "fold").collect()
+    spark = model_set.sparkSession
 
     def fit(fold, in_sector: DataFrame) -> PipelineModel:
         train = fold_slice(in_sector, fold.train_start, fold.train_end)
         model = make_pipeline(features, **pipeline).fit(train.select("Label", *features))
         if models_dir:
-            model.write().overwrite().save(f"{models_dir}/{fold.category}/{fold.name}")
+            model.write().overwrite().save(f"{models_dir}/{fold.folder}/{fold.name}")
         return model
 
-    return _score_folds(model_set, folds, fit, parallelism)
+    predictions, status = _score_folds(model_set, folds, fit, parallelism, on_error)
+    if models_dir:
+        done = {(r["category"], r["fold"]) for r in status.where("status = 'done'").collect()}
+        rows = [
+            (f.category, f"{models_dir}/{f.folder}/{f.name}", f.train_start, f.train_end, f.test_start, f.test_end)
+            for f in folds if (f.category, f.fold) in done
+        ]
+        spark.createDataFrame(rows, REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(f"{models_dir}/{REGISTRY}")
+    return predictions, status
+
+
+def _folder(category: Column) -> Column:
+    """Sector key as a folder name; names that it changes are told apart by a checksum."""
+    key = F.regexp_replace(sector_key(category), r"[^\w.-]", "_")
+    return F.when(key == category, key).otherwise(F.concat(key, F.lit("-"), F.hex(F.crc32(category.cast("binary")))))
 
 
 def model_registry(spark: SparkSession, models_dir: str) -> DataFrame:
-    """(category, model_path and four dates) of every saved model, by name;
-    folders with other names are left out."""
-    path = F.col("_metadata.file_path")
-    found = spark.read.text(f"{models_dir}/*/*/metadata/part-*").select(
-        F.regexp_extract(path, r"^(.*)/metadata/[^/]*$", 1).alias("model_path")
-    ).distinct()
-    name = F.substring_index("model_path", "/", -1)
-    category = F.url_decode(F.substring_index(F.substring_index("model_path", "/", -2), "/", 1))
-    return found.select(category.alias("category"), "model_path", *parse_model_name(name)).where(
-        F.col("test_end").isNotNull()
-    )
+    """(category, model_path and four dates) of every saved model; none if nothing was saved.
+
+    Paths and categories are those written when the models were saved.
+    """
+    try:
+        found = spark.read.schema(REGISTRY_SCHEMA).parquet(f"{models_dir}/{REGISTRY}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], REGISTRY_SCHEMA)
+    return found.distinct()
 
 
 def sorted_models(registry: DataFrame) -> DataFrame:
@@ -194,7 +224,8 @@ def evaluate_saved(
     registry: DataFrame,
     train_days: int = TRAIN_DAYS,
     test_days: int = TEST_DAYS,
-    parallelism: int = 4,
+    parallelism: int | None = None,
+    on_error: str = "raise",
 ) -> tuple[DataFrame, DataFrame]:
     """Score every fold's test dates with the saved model that fits its period
     best: (predictions, status). Folds without such a model are skipped."""
@@ -203,7 +234,7 @@ def evaluate_saved(
     def load(fold, _in_sector: DataFrame) -> PipelineModel | None:
         return PipelineModel.load(fold.model_path) if fold.model_path else None
 
-    return _score_folds(model_set, folds, load, parallelism)
+    return _score_folds(model_set, folds, load, parallelism, on_error)
 
 
 def union_predictions(*tables: DataFrame) -> DataFrame:

@@ -83,40 +83,6 @@ def score_sentiment(
     return scored.withColumn("predicted_sentiment", argmax_article([F.col(n) for n in names], tuple(names)))
 
 
-def transformer_scorer(model_name: str) -> Callable[[], Scorer]:
-    """Factory for a sequence-classification model of the transformers library.
-
-    The library and torch are imported in the task; a text is truncated at the
-    model's own length limit, which is the model's definition of a score.
-    """
-
-    def make() -> Scorer:
-        import torch
-        from transformers import AutoModelForSequenceClassification, AutoTokenizer
-
-        tokenizer = AutoTokenizer.from_pretrained(model_name)
-        model = AutoModelForSequenceClassification.from_pretrained(model_name).eval()
-        device = "cuda" if torch.cuda.is_available() else "cpu"
-        model.to(device)
-
-        def score(texts: Sequence[str]) -> np.ndarray:
-            inputs = tokenizer(list(texts), padding=True, truncation=True, return_tensors="pt").to(device)
-            with torch.no_grad():
-                return torch.softmax(model(**inputs).logits, dim=1).cpu().numpy()
-
-        return score
-
-    return make
-
-
-def transformer_labels(model_name: str) -> tuple[str, ...]:
-    """The label names of a model, in the order of its outputs."""
-    from transformers import AutoConfig
-
-    names = AutoConfig.from_pretrained(model_name).id2label
-    return tuple(names[i].lower() for i in sorted(names))
-
-
 def sentiment_distribution(df: DataFrame) -> DataFrame:
     return df.groupBy("predicted_sentiment").count()
 

@@ -93,12 +93,18 @@ def model_set(
 
 
 def fold_report(
-    model_set: DataFrame, predictions: DataFrame, train_days: int = TRAIN_DAYS, test_days: int = TEST_DAYS
+    model_set: DataFrame, predictions: DataFrame, train_days: int = TRAIN_DAYS, test_days: int = TEST_DAYS,
+    registry: DataFrame | None = None,
 ) -> DataFrame:
+    """Dates, metrics and counts of every fold; with a registry also the ``model_path`` of its saved model."""
     by = ["category", "fold"]
-    return metrics.fold_results(
+    report = metrics.fold_results(
         predictions, fold_table(model_set, train_days, test_days), fold_counts(model_set, train_days, test_days), by
     )
+    if registry is None:
+        return report
+    keys = ["category", "train_start", "train_end", "test_start", "test_end"]
+    return report.join(registry.select(*keys, "model_path"), keys, "left")
 
 
 def backtest_report(results: DataFrame, predictions: DataFrame) -> dict[str, DataFrame]:

@@ -226,7 +226,7 @@ add("typed_prices", f"select {KEY}, {rounded(['Open', 'Close', ADJ])}, Volume fr
 add("clean_prices", f"select {KEY}, {rounded(['Open', 'High', 'Low', 'Close', ADJ])}, Volume from raw_prices")
 TYPED = (
     "typed",
-    """select cast(try_cast(No as double) as int) as No, try_cast(substr(Date, 1, 10) as date) as Date,
+    """select cast(trunc(try_cast(No as double)) as bigint) as No, try_cast(substr(Date, 1, 10) as date) as Date,
               Article_title, Stock_symbol, Url, Article, Lsa_summary from raw_news""",
 )
 COMPLETE = "No is not null and Date is not null and Stock_symbol is not null and Url is not null and Article is not null"
@@ -604,3 +604,22 @@ add("nth_frequent_symbol", f"""
     select {KEY}, {rounded(['MA20', 'Sent_Net', 'Vol_MA20'])} from features
     where Stock_symbol = (select Stock_symbol from features group by Stock_symbol order by count(*) desc, Stock_symbol limit 1 offset 10)""")
 add("preview", f"select {KEY}, {r('Close')}, category from panel order by Stock_symbol, Date limit 5")
+
+# Walk-forward: everything but the score itself.
+TRIAL_FOLDS = fold_tables("model_set", 252, 504)
+TESTED = "model_set m join folds f on m.category = f.category and m.Date between test_start and test_end"
+TRIAL_COUNTS = ("counted", """
+    select f.category, f.fold, count(*) filter (where Date between train_start and train_end) as n_train,
+      count(*) filter (where Date between test_start and test_end) as n_test
+    from folds f join model_set m on m.category = f.category group by f.category, f.fold""")
+COUNTED = "folds join counted using (category, fold)"
+add("walk_forward", f"""
+    select m.category, fold, Stock_symbol, {day('m.Date', 'Date')}, Label, Label as y_test, true as cut_agrees, true as in_range
+    from {TESTED}""", *TRIAL_FOLDS)
+add("walk_forward_status", "select category, fold, 'done' as status from folds", *TRIAL_FOLDS)
+add("walk_forward_results", f"select category, fold, {FOLD_DATES}, n_train, n_test, {MODEL_NAME} as model from {COUNTED}", *TRIAL_FOLDS, TRIAL_COUNTS)
+add("model_registry", f"select category, {FOLD_DATES} from folds", *TRIAL_FOLDS)
+add("sorted_models", f"select category, {day('test_start')}, {day('test_end')} from folds", *TRIAL_FOLDS)
+add("save_model", f"select category, {FOLD_DATES}, n_train, n_test, cast({len(FEATURES)} as int) as features, true as scored from {COUNTED}", *TRIAL_FOLDS, TRIAL_COUNTS)
+add("evaluate_saved", f"""
+    select m.category, fold, Stock_symbol, {day('m.Date', 'Date')}, Label, true as same_score from {TESTED}""", *TRIAL_FOLDS)

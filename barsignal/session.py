@@ -57,3 +57,12 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     path = work_dir(spark, name)
     df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(table: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` has written."""
+    spark = table.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {path.rpartition("/")[0] for path in table.inputFiles()}:
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

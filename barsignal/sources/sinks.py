@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsignal.session import materialize
+from barsignal.session import materialize, remove
 
 
 
@@ -47,6 +47,7 @@ def write_model_set(df: DataFrame, path: str) -> None:
     staged = materialize(df, "model_set_staged")
     ordered = staged.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ordered.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    remove(staged)
 
 
 def export_sector_csv(df: DataFrame, path: str) -> None:
@@ -59,4 +60,4 @@ def export_results_csv(results: DataFrame, path: str) -> None:
     """Fold results as a single CSV with ISO dates: one row per sector and fold."""
     dates = [c for c, t in results.dtypes if t == "date"]
     text = results.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in dates})
-    text.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    text.repartition(1).write.mode("overwrite").option("header", True).csv(path)

@@ -75,11 +75,34 @@ def test_folds_without_a_model_are_skipped(spark, table, run):
 
 def test_a_failing_sector_does_not_stop_the_others(table):
     broken = table.withColumn("Label", F.when(F.col("category") == "B", F.col("Label") + 5).otherwise(F.col("Label")))
-    predictions, status = models.walk_forward(broken, COLUMNS, **SPAN, **TREES)
+    predictions, status = models.walk_forward(broken, COLUMNS, on_error="skip", **SPAN, **TREES)
     assert {(r.category, r.status) for r in status.collect()} == {("A", "done"), ("B", "failed")}
     assert {r.category for r in predictions.select("category").distinct().collect()} == {"A"}
 
 
+def test_a_failing_fold_raises_by_default(table):
+    broken = table.where("category = 'B'").withColumn("Label", F.col("Label") + 5)
+    with pytest.raises(Exception):
+        models.walk_forward(broken, COLUMNS, **SPAN, **TREES)
+
+
+def test_saved_models_of_any_category_are_loaded(spark, table, tmp_path):
+    names = ["Real Estate", "Real_Estate", "a+b", "50% off", "x/y"]
+    parts = [table.where("category = 'B'").withColumn("category", F.lit(n)) for n in names]
+    both = materialize(models.union_predictions(*parts), "named")
+    folder = str(tmp_path / "models of all")
+    predictions, _ = models.walk_forward(both, COLUMNS, models_dir=folder, **SPAN, **TREES)
+    registry = models.model_registry(spark, folder)
+    assert sorted(r.category for r in registry.collect()) == sorted(names)
+    again, status = models.evaluate_saved(both, registry, **SPAN)
+    assert {r.status for r in status.collect()} == {"done"}
+    assert again.exceptAll(predictions).count() == 0 and again.count() == predictions.count() > 0
+
+
+def test_no_saved_model(spark, tmp_path):
+    assert models.model_registry(spark, str(tmp_path / "nothing")).count() == 0
+
+
 def test_no_folds(table):
     predictions, status = models.walk_forward(table, COLUMNS, train_days=500)
     assert predictions.count() == status.count() == 0

@@ -1,16 +1,19 @@
 """CSV, Parquet and archive scans, and what the sinks leave behind."""
 
 import csv
+import os
 import zipfile
 
 import pytest
 from panels import as_spark, edge_panel
 from pyspark.sql import functions as F
 
+from barsignal import session
 from barsignal.operators import clean
 from barsignal.plans.flows import clean_news, clean_prices
 from barsignal.session import work_dir
 from barsignal.sources import archive, dims, files, quoted_csv, sinks
+from barsignal.sources import paths as paths_of
 
 NEWS = [
     ["1", "2023-12-16 23:00:00 UTC", 'He said "buy", twice', "AAPL", "u", "p", "a", "line one\nline two\n\n\"end\"", "sum", "", "", ""],
@@ -166,7 +169,44 @@ class Session:
 
 def test_work_dir_follows_the_cluster_setting():
     assert work_dir(Session("yarn", "s3a://lake/tmp/"), "x").startswith("s3a://lake/tmp/x-")
-    with pytest.raises(ValueError):
-        work_dir(Session("yarn"), "x")
-    paths = [work_dir(Session("local[2]"), "x") for _ in range(2)]
-    assert paths[0] != paths[1] and paths[0].rsplit("/", 1)[0] == paths[1].rsplit("/", 1)[0]
+    bare = Session("yarn")
+    bare.conf = {"spark.sql.warehouse.dir": "hdfs://lake/warehouse/"}
+    paths = [work_dir(bare, "x") for _ in range(2)]
+    assert paths[0] != paths[1] and all(p.startswith("hdfs://lake/warehouse/x-") for p in paths)
+
+
+def test_staged_tables_are_removed(spark, tmp_path):
+    staged = session.materialize(spark.range(5), "staged")
+    folder = staged.inputFiles()[0].rpartition("/")[0].removeprefix("file:").replace("///", "/")
+    assert os.path.isdir(folder)
+    session.remove(staged)
+    assert not os.path.exists(folder)
+
+
+def test_paths_for_python():
+    fs, name = paths_of.arrow_path("file:///a b/c%20d.zip")
+    assert fs.type_name == "local" and name == "/a b/c%20d.zip"
+    assert paths_of.arrow_path("/x/y")[1] == "/x/y"
+
+
+def test_article_day_is_that_of_utc(spark):
+    raw = spark.createDataFrame([("3000000000", "2023-12-16 03:00:00 UTC")], "No string, Date string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = clean.typed_news(raw).selectExpr("No", "cast(Date as string) d").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert (row.No, row.d) == (3_000_000_000, "2023-12-16")
+
+
+def test_archive_members_are_spread(spark, tmp_path):
+    folder = tmp_path / "with space"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "all.zip", "w") as z:
+        for k in range(40):
+            z.writestr(f"s{k}.csv", "Date,Open\n2020-01-01,1\n")
+    symbols = spark.createDataFrame([(f"S{k}",) for k in range(40)], "Stock_symbol string")
+    got = archive.archive_ingest(spark, str(folder), symbols, ("Date", "Open"), parallelism=4)
+    tasks = got.withColumn("p", F.spark_partition_id()).select("p").distinct().count()
+    assert got.count() == 40 and tasks > 1
