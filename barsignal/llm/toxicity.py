@@ -25,11 +25,12 @@ from barsignal.llm.words import batch_words, span_hashes, text_bytes
 SAMPLE_ROWS = 4000
 TRAIN_WINDOWS = 48
 WORDS = 4096
-GRAMS = 4096
+GRAMS = 4096  # twelve bits of a hash
 DIM, HIDDEN = 8, 8
 WINDOW, STRIDE = 32, 24
 EPOCHS, BATCH, RATE = 5, 64, 0.01
 WINDOWS_AT_ONCE = 2048
+CHARS_AT_ONCE = 1 << 22
 THRESHOLD = 0.3
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -40,7 +41,7 @@ def gram_slots(data: np.ndarray) -> np.ndarray:
     """Slot of the trigram around each byte."""
     x = np.concatenate([[32], _FOLD[data], [32]]).astype(np.uint32)
     code = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
-    return ((code * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64) % GRAMS
+    return ((code * np.uint32(2654435761)) >> np.uint32(20)).astype(np.uint16)
 
 
 def window_starts(words: int) -> np.ndarray:
@@ -60,11 +61,10 @@ class ToxicityModel:
     def __getstate__(self) -> dict:
         return {**self.__dict__, "_known": None}
 
-    def _inputs(self, data, starts, ends, grams: np.ndarray) -> np.ndarray:
+    def _inputs(self, slots, starts, ends, grams: np.ndarray) -> np.ndarray:
         """Character part of the words' inputs."""
         if not len(starts):
             return np.zeros((0, DIM), np.float32)
-        slots = gram_slots(data)
         lengths = ends - starts
         first = np.cumsum(lengths) - lengths
         at = np.repeat(starts - first, lengths) + np.arange(lengths.sum())
@@ -79,6 +79,16 @@ class ToxicityModel:
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Largest window score of each text; a text without words gets the score of an empty window."""
+        parts, part, size = [], [], 0
+        for text in texts:
+            part.append(text)
+            size += len(text or "")
+            if size > CHARS_AT_ONCE:
+                parts.append(self._score(part))
+                part, size = [], 0
+        return np.concatenate([*parts, self._score(part)]) if part or not parts else np.concatenate(parts)
+
+    def _score(self, texts: list[str | None]) -> np.ndarray:
         data, starts, ends, bounds = batch_words([text_bytes((t or "").lower()) for t in texts], "mark")
         out = np.full(len(texts), -np.inf)
         hashes = span_hashes(data, starts, ends)
@@ -88,7 +98,7 @@ class ToxicityModel:
         unknown = np.flatnonzero(place == 0)
         rows = unknown[new]
         p = self.p
-        chars = self._inputs(data, starts[rows], ends[rows], p["grams"])
+        chars = self._inputs(gram_slots(data), starts[rows], ends[rows], p["grams"])
         row_of = place - 1
         row_of[unknown] = len(self.vocabulary) + inverse
         if self._known is None:
@@ -122,12 +132,14 @@ def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None =
     """
     draw = np.random.default_rng(seed)
     y = np.array([float(v) for _, v in sample])
-    data, starts, ends, bounds = batch_words([text_bytes(t.lower()) for t, _ in sample], "mark")
-    hashes = span_hashes(data, starts, ends)
-    sizes = np.diff(bounds).astype(np.int64)
+    slots, starts, ends, hashes, sizes = _all_words([t for t, _ in sample])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
     doc = np.repeat(np.arange(len(sample)), sizes)
-    pairs = np.unique(np.stack([hashes, doc.astype(np.uint64)], 1), axis=0) if len(hashes) else np.empty((0, 2), np.uint64)
-    words, first, df = np.unique(pairs[:, 0], return_index=True, return_counts=True)
+    order = np.lexsort((doc, hashes))
+    once = np.ones(len(order), bool)
+    once[1:] = (np.diff(doc[order]) != 0) | (hashes[order][1:] != hashes[order][:-1])
+    pair_words, pair_docs = hashes[order][once], doc[order][once]
+    words, df = np.unique(pair_words, return_counts=True)
     vocabulary = np.sort(words[np.argsort(-df, kind="stable")[:WORDS]][: int((df >= 3).sum())])
     p = bigru.init(len(vocabulary) + 1, GRAMS, DIM, HIDDEN, seed)
     share = (y.sum() + 1) / (len(y) + 2)
@@ -138,15 +150,14 @@ def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None =
         p["out"][:] = 0
         return model
     # The first component of a known word starts as its log-odds.
-    known = np.isin(pairs[:, 0], vocabulary)
-    at = np.searchsorted(vocabulary, pairs[known, 0])
-    toxic = y[pairs[known, 1].astype(int)]
+    known = np.isin(pair_words, vocabulary)
+    at = np.searchsorted(vocabulary, pair_words[known])
+    toxic = y[pair_docs[known]]
     ones = np.bincount(at, toxic, len(vocabulary)) + 0.5
     zeros = np.bincount(at, 1 - toxic, len(vocabulary)) + 0.5
     odds = np.log(ones / (y.sum() + 1)) - np.log(zeros / ((1 - y).sum() + 1))
     p["words"][1:, 0] = np.clip(odds, -3, 3) / 2
     place = model.places(hashes)
-    slots = gram_slots(data)
     tried = [_windows(int(n), draw) for n in sizes]
     adam = bigru.Adam(p, RATE)
 
@@ -164,8 +175,8 @@ def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None =
             words, mask = batch(flat_docs, flat)
             value = (p["words"][place[words], 0] * mask).max(1)
         else:
-            model.chars_of_known = _known_chars(model, data, starts, ends, hashes)
-            value = _window_logits(model, data, starts, ends, place, flat_docs, flat, batch)
+            model.chars_of_known = _known_chars(model, slots, starts, ends, hashes)
+            value = _window_logits(model, slots, starts, ends, place, flat_docs, flat, batch)
         order = np.lexsort([-value, flat_docs])
         docs, at = np.unique(flat_docs[order], return_index=True)
         top = flat[order][at]
@@ -179,27 +190,39 @@ def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None =
             part = mixed[k : k + BATCH]
             words, mask = batch(chosen_docs[part], chosen[part])
             _step(p, adam, place, slots, starts, ends, words, mask, y[chosen_docs[part]].astype(np.float32))
-    model.chars_of_known = _known_chars(model, data, starts, ends, hashes)
+    model.chars_of_known = _known_chars(model, slots, starts, ends, hashes)
     if counts:
         p["base"] += np.log(counts.get(1, 0) + 1) - np.log(counts.get(0, 0) + 1) - np.log(y.sum() + 1) + np.log((1 - y).sum() + 1)
     return model
 
 
-def _known_chars(model, data, starts, ends, hashes) -> np.ndarray:
+def _known_chars(model, slots, starts, ends, hashes) -> np.ndarray:
     """Character part of the known words, from a place where each stands."""
     words, first = np.unique(hashes, return_index=True)
     rows = first[np.searchsorted(words, model.vocabulary)]
-    return model._inputs(data, starts[rows], ends[rows], model.p["grams"])
+    return model._inputs(slots, starts[rows], ends[rows], model.p["grams"])
 
 
-def _window_logits(model, data, starts, ends, place, docs, begins, batch) -> np.ndarray:
-    p = model.p
-    x = p["words"][place] + model._inputs(data, starts, ends, p["grams"])
-    table = (x @ p["w"] + p["bias"]).astype(np.float32)
-    out = []
+def _all_words(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Trigram slots of all bytes, start, end and hash of every word, words of each text; read in parts."""
+    parts, at = [], 0
+    for k in range(0, len(texts), 256):
+        data, starts, ends, bounds = batch_words([text_bytes(t.lower()) for t in texts[k : k + 256]], "mark")
+        parts.append((gram_slots(data), starts + at, ends + at, span_hashes(data, starts, ends), np.diff(bounds)))
+        at += len(data)
+    if not parts:
+        return np.empty(0, np.uint16), *np.empty((2, 0), np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _window_logits(model, slots, starts, ends, place, docs, begins, batch) -> np.ndarray:
+    p, out = model.p, []
     for k in range(0, len(docs), WINDOWS_AT_ONCE):
         words, mask = batch(docs[k : k + WINDOWS_AT_ONCE], begins[k : k + WINDOWS_AT_ONCE])
-        out.append(bigru.logits(p, table, words, mask))
+        rows, inverse = np.unique(words, return_inverse=True)
+        x = p["words"][place[rows]] + model._inputs(slots, starts[rows], ends[rows], p["grams"])
+        table = (x @ p["w"] + p["bias"]).astype(np.float32)
+        out.append(bigru.logits(p, table, inverse.reshape(words.shape), mask))
     return np.concatenate(out)
 
 

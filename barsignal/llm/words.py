@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+# Bytes hashed at once.
+STRETCH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -48,7 +50,23 @@ def word_spans(data: np.ndarray, breaks: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span, the same wherever the span stands."""
+    """A 64-bit hash of the bytes of each span, the same wherever the span stands.
+
+    Long data is hashed in stretches of bounded size: spans are in order and
+    do not overlap.
+    """
+    if len(data) <= STRETCH:
+        return _span_hashes(data, starts, ends)
+    out, i = [np.empty(0, np.uint64)], 0
+    while i < len(starts):
+        lo = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, lo + STRETCH, "right")))
+        out.append(_span_hashes(data[lo : ends[j - 1]], starts[i:j] - lo, ends[i:j] - lo))
+        i = j
+    return np.concatenate(out)
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.empty(0, np.uint64)
     forward, inverse = _tables(len(data) + 1)
