@@ -12,6 +12,7 @@ from barsignal.llm import (
     decontaminate, embedding_dedup, html_text, language, line_dedup, minhash, packing, quality, token_output, toxicity,
 )
 from barsignal.llm.common import fold_of, table
+from barsignal.llm.line_dedup_sql import LINE_DEDUP
 from barsignal.llm.tokens import vocabulary_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,4 +82,4 @@ QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_dedup": LINE_DEDUP}
