@@ -154,3 +154,13 @@ def match_model(periods: DataFrame, registry: DataFrame, by: Sequence[str] = BY)
 
 def distinct_months(df: DataFrame) -> DataFrame:
     return df.select(F.trunc("Date", "month").alias("month")).distinct().orderBy("month")
+
+
+def sector_skip(df: DataFrame, train_days: int = TRAIN_DAYS, test_days: int = TEST_DAYS) -> DataFrame:
+    """Folds of every sector, and whether it is kept or skipped for having none."""
+    per_sector = fold_table(df, train_days, test_days).groupBy("category").agg(F.count(F.lit(1)).alias("folds"))
+    return df.select("category").distinct().join(per_sector, "category", "left").select(
+        "category",
+        F.coalesce("folds", F.lit(0)).alias("folds"),
+        F.when(F.col("folds").isNull(), "skipped").otherwise("kept").alias("status"),
+    )

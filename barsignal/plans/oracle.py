@@ -219,7 +219,7 @@ add("export_results_csv", f"""
     select fold, cast(cast({TEST_START} as date) as varchar) as test_start, count(*) as n_test from preds group by fold""")
 
 # Cleaning
-add("drop_columns", "select No, Date, Article_title, Stock_symbol, Url from raw_news")
+add("drop_columns", "select No, Date, Article_title, Stock_symbol, Url, cast(length(Article) as int) as Article, md5(Lsa_summary) as Lsa_summary from raw_news")
 add("select_columns", "select No, cast(length(Lsa_summary) as int) as summary_length from raw_news")
 add("strip_names", f"select {KEY}, {r('Open')}, Volume from prices")
 add("typed_prices", f"select {KEY}, {rounded(['Open', 'Close', ADJ])}, Volume from raw_prices")

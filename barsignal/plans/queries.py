@@ -254,7 +254,10 @@ def _(spark, sf_dir):
 
 @query("drop_columns")
 def _(spark, sf_dir):
-    return clean.drop_columns(standins.raw_news(spark, sf_dir)).drop("Article", "Lsa_summary")
+    left = clean.drop_columns(standins.raw_news(spark, sf_dir))
+    return left.withColumns({
+        "Article": F.length("Article"), "Lsa_summary": F.md5(F.col("Lsa_summary").cast("binary")),
+    })
 
 
 @query("select_columns")
@@ -584,14 +587,7 @@ def _(spark, sf_dir):
 @query("sector_skip")
 def _(spark, sf_dir):
     """Sectors with and without folds of this length."""
-    table = silver(spark, sf_dir, "panel")
-    per_sector = folds.fold_table(table, 2050, 21).groupBy("category").agg(F.count(F.lit(1)).alias("folds"))
-    everyone = eda.distinct_values(table, "category")
-    return everyone.join(per_sector, "category", "left").select(
-        "category",
-        F.coalesce("folds", F.lit(0)).alias("folds"),
-        F.when(F.col("folds").isNull(), "skipped").otherwise("kept").alias("status"),
-    )
+    return folds.sector_skip(silver(spark, sf_dir, "panel"), 2050, 21)
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
