@@ -7,8 +7,11 @@ window, the last one on ties, is a fingerprint, so two documents that share
 a window share its fingerprint. Windows whose fingerprint occurs once are
 dropped at once; for the others the content decides: the first window of a
 content stays, every later one is matched with it, and the match is extended
-to both sides line by line over what lies within ``min_words`` words. Lines
-under a later match are deleted.
+to both sides line by line: to the left over lines that begin within
+``min_words`` words before the window, to the right over lines that begin
+within ``min_words`` words after its end, however long its lines are, and
+after a short window within three times as many after its start. Lines under
+a later match are deleted.
 
 First means the smallest (doc_id, line); a run that repeats inside one
 document is deleted there too.
@@ -44,24 +47,31 @@ def line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """Complete windows: their lines' hashes, their fingerprint, what lies within min_words on either side."""
+    """Complete windows: their lines' hashes, their fingerprint, what lies on either side."""
     order = Window.partitionBy("_doc", "_copy").orderBy("line")
     total = Window.partitionBy("_doc", "_copy")
     placed = lines.withColumn("_at", F.sum("words").over(order) - F.col("words")).withColumn("_all", F.sum("words").over(total))
     span = Window.partitionBy("_doc", "_copy").orderBy("_at")
     cell = F.struct("h", "line", F.col("_at").alias("at"))
     inside = F.collect_list(cell).over(span.rangeBetween(0, min_words - 1))
+    # What begins within min_words of a line's end: a window's last line has its window's.
+    placed = placed.withColumn("_next", F.collect_list(cell).over(span.rangeBetween(0, min_words)))
+    placed = placed.withColumn("_next", F.coalesce(F.lead("_next").over(span), F.slice("_next", 1, 0)))
     around = placed.select(
         "_doc", "_copy", "line", "_at", "_all", inside.alias("_in"),
         F.min(F.struct("h", (-F.col("line")).alias("_n"))).over(span.rangeBetween(0, min_words - 1)).alias("_low"),
         F.collect_list(cell).over(span.rangeBetween(-min_words, -1)).alias("_left"),
-        F.collect_list(cell).over(span.rangeBetween(0, 3 * min_words)).alias("_right"),
+        F.collect_list(cell).over(span.rangeBetween(0, 3 * min_words)).alias("_near"),
+        F.last("_next").over(span.rangeBetween(0, min_words - 1)).alias("_after"),
     )
+    near = F.slice("_near", F.size("_in") + 1, F.size("_near"))
+    # Both start at the line after the window: the longer one holds the other.
+    right = F.when(F.size(near) > F.size("_after"), near).otherwise(F.col("_after"))
     complete = around.where(F.col("_at") + min_words <= F.col("_all"))
     return complete.select(
         "_doc", "_copy", "line", F.col("_low.h").alias("fingerprint"), (-F.col("_low._n")).alias("place"),
         F.transform("_in", lambda x: x["h"]).alias("content"), F.transform("_in", lambda x: x["line"]).alias("lines"),
-        F.reverse("_left").alias("left"), F.slice("_right", F.size("_in") + 1, F.size("_right")).alias("right"),
+        F.reverse("_left").alias("left"), right.alias("right"),
     )
 
 
