@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from barsignal.llm import (
-    conversation_trie, decontaminate, embedding_dedup, html_text, language, license_scan, line_dedup, minhash, packing, quality, token_output, toxicity,
+    conversation_trie, decontaminate, embedding_dedup, html_text, language, license_scan, line_dedup, minhash, packing, quality,
+    ranked_search, token_output, toxicity,
 )
 from barsignal.llm.common import fold_of, table
 from barsignal.llm.conversation_trie_sql import CONVERSATION_TRIE
 from barsignal.llm.license_scan_sql import LICENSE_SCAN
 from barsignal.llm.line_dedup_sql import LINE_DEDUP
+from barsignal.llm.ranked_search_sql import RANKED_SEARCH
 from barsignal.llm.tokens import vocabulary_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +72,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -90,9 +96,12 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_ranked_search": op11_ranked_search,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_license_scan": op13_license_scan,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {"op1_line_dedup": LINE_DEDUP, "op12_conversation_trie": CONVERSATION_TRIE, "op13_license_scan": LICENSE_SCAN}
+SQL: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP, "op11_ranked_search": RANKED_SEARCH, "op12_conversation_trie": CONVERSATION_TRIE, "op13_license_scan": LICENSE_SCAN,
+}
