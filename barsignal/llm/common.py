@@ -29,6 +29,17 @@ def shared(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores until no column of ``df`` has it, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold_of(key: str | Column, folds: int) -> Column:
     """crc32 of an id's text, modulo ``folds``."""
     return F.crc32(F.coalesce(F.col(key) if isinstance(key, str) else key, F.lit(0)).cast("string").cast("binary")) % folds

@@ -6,12 +6,12 @@ words (one long line is a window of its own). The smallest line hash of each
 window, the last one on ties, is a fingerprint, so two documents that share
 a window share its fingerprint. Windows whose fingerprint occurs once are
 dropped at once; for the others the content decides: the first window of a
-content stays, every later one is matched with it, and the match is extended
-to both sides line by line: to the left over lines that begin within
-``min_words`` words before the window, to the right over lines that begin
-within ``min_words`` words after its end, however long its lines are, and
-after a short window within three times as many after its start. Lines under
-a later match are deleted.
+content stays, every later one is deleted, and the match is extended line by
+line to both sides. To the left reach the lines that begin within
+``min_words`` words before the window, to the right those that begin within
+``min_words`` words after its end. A line on a side is deleted if the window
+with the lines up to it has stood anywhere before: every earlier occurrence
+counts, not only the first.
 
 First means the smallest (doc_id, line); a run that repeats inside one
 document is deleted there too.
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barsignal.llm.common import shared
+from barsignal.llm.common import free_names, shared
 
 MIN_WORDS = 20
 
@@ -61,26 +61,22 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
         "_doc", "_copy", "line", "_at", "_all", inside.alias("_in"),
         F.min(F.struct("h", (-F.col("line")).alias("_n"))).over(span.rangeBetween(0, min_words - 1)).alias("_low"),
         F.collect_list(cell).over(span.rangeBetween(-min_words, -1)).alias("_left"),
-        F.collect_list(cell).over(span.rangeBetween(0, 3 * min_words)).alias("_near"),
-        F.last("_next").over(span.rangeBetween(0, min_words - 1)).alias("_after"),
+        F.last("_next").over(span.rangeBetween(0, min_words - 1)).alias("right"),
     )
-    near = F.slice("_near", F.size("_in") + 1, F.size("_near"))
-    # Both start at the line after the window: the longer one holds the other.
-    right = F.when(F.size(near) > F.size("_after"), near).otherwise(F.col("_after"))
     complete = around.where(F.col("_at") + min_words <= F.col("_all"))
     return complete.select(
         "_doc", "_copy", "line", F.col("_low.h").alias("fingerprint"), (-F.col("_low._n")).alias("place"),
         F.transform("_in", lambda x: x["h"]).alias("content"), F.transform("_in", lambda x: x["line"]).alias("lines"),
-        F.reverse("_left").alias("left"), right.alias("right"),
+        F.reverse("_left").alias("left"), "right",
     )
 
 
-def _agreeing(mine: str, theirs: str) -> Column:
-    """Lines of the common prefix of two side arrays."""
-    same = F.zip_with(mine, theirs, lambda x, y: F.coalesce(x["h"] == y["h"], F.lit(False)))
-    first_off = F.array_position(same, False)
-    n = F.when(first_off > 0, first_off - 1).otherwise(F.size(same)).cast("int")
-    return F.transform(F.slice(mine, F.lit(1), n), lambda x: x["line"])
+def _extended(side: str) -> Column:
+    """A window with its next lines on a side, one after the other: hash of the whole, the line added last."""
+    hashes = F.transform(side, lambda x: x["h"])
+    return F.transform(side, lambda x, i: F.struct(
+        F.xxhash64(F.lit(side), "content", F.slice(hashes, F.lit(1), i + 1)).alias("c"), F.array(x["line"]).alias("lines"),
+    ))
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -89,18 +85,15 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_
     # Fingerprints are selected once per place, whatever the number of windows that select them.
     places = found.select("fingerprint", "_doc", "_copy", "place").distinct()
     common = shared(places.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1").select("fingerprint"), "fingerprints")
-    joined = shared(found.join(common, "fingerprint"), "shared_windows")
+    whole = F.array(F.struct(F.xxhash64(F.lit("window"), "content").alias("c"), F.col("lines").alias("lines")))
+    parts = F.concat(whole, _extended("left"), _extended("right"))
+    runs = shared(found.join(common, "fingerprint").select("_doc", "_copy", "line", F.inline(parts)), "shared_runs")
     spot = F.struct("_doc", "_copy", "line")
-    firsts = joined.groupBy(F.xxhash64("content").alias("_c"), "fingerprint").agg(
-        F.count("*").alias("_n"), F.min(F.struct(spot.alias("s"), F.col("left").alias("l"), F.col("right").alias("r"))).alias("_first"),
-    ).where("_n > 1")
-    firsts = shared(firsts.select("_c", "fingerprint", "_first"), "first_windows")
-    later = joined.withColumn("_c", F.xxhash64("content")).join(firsts, ["_c", "fingerprint"])
     # Distinct rows of equal doc_id and text are one document, so spots are unique.
-    later = later.where(~spot.eqNullSafe(F.col("_first.s")))
-    gone = F.concat("lines", _agreeing("left", "_first.l"), _agreeing("right", "_first.r"))
+    firsts = shared(runs.groupBy("c").agg(F.count("*").alias("_n"), F.min(spot).alias("_first")).where("_n > 1").select("c", "_first"), "first_runs")
+    later = runs.join(firsts, "c").where(~spot.eqNullSafe(F.col("_first")))
     return (
-        later.select("_doc", "_copy", F.explode(gone).alias("line"))
+        later.select("_doc", "_copy", F.explode("lines").alias("line"))
         .groupBy("_doc", "_copy").agg(F.sort_array(F.collect_set("line")).alias("gone"))
     )
 
@@ -113,15 +106,16 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id",
     line, a null key sorts first, repeated rows get the same result. Columns
     named n_lines or n_removed are replaced.
     """
-    gone = repeated_lines(docs, min_words, key, text).toDF("_dup_doc", "_dup_copy", "_dup_lines")
-    base = docs.withColumn("_copy_of", F.xxhash64(text))
-    joined = base.join(gone, F.col(key).eqNullSafe(F.col("_dup_doc")) & (F.col("_copy_of") == F.col("_dup_copy")), "left")
+    copy_of, dup_doc, dup_copy, dup_lines = free_names(docs, "_copy_of", "_dup_doc", "_dup_copy", "_dup_lines")
+    gone = repeated_lines(docs, min_words, key, text).toDF(dup_doc, dup_copy, dup_lines)
+    base = docs.withColumn(copy_of, F.xxhash64(text))
+    joined = base.join(gone, F.col(key).eqNullSafe(F.col(dup_doc)) & (F.col(copy_of) == F.col(dup_copy)), "left")
     lines = F.split(F.col(text), "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_dup_lines", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(dup_lines, i)), "\n")
     counted = F.coalesce(F.size(F.filter(lines, lambda x: _trimmed(x) != "")), F.lit(0))
     return (
         joined.withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(counted).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_dup_lines"), F.lit(0)).cast("long"))
-        .withColumn(text, F.when(F.col("_dup_lines").isNull(), F.col(text)).otherwise(kept))
-        .drop("_copy_of", "_dup_doc", "_dup_copy", "_dup_lines")
+        .withColumn("n_removed", F.coalesce(F.size(dup_lines), F.lit(0)).cast("long"))
+        .withColumn(text, F.when(F.col(dup_lines).isNull(), F.col(text)).otherwise(kept))
+        .drop(copy_of, dup_doc, dup_copy, dup_lines)
     )

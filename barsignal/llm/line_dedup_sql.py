@@ -1,13 +1,8 @@
-"""DuckDB SQL for the line dedup query: the same windows and matches, without fingerprints."""
+"""DuckDB SQL for the line dedup query: the same windows and extensions, whole in place of hashes, without fingerprints."""
 
 from barsignal.llm.line_dedup import MIN_WORDS
 
 
-def _agreeing(mine: str, theirs: str) -> str:
-    same = f"list_transform(list_zip({mine}, {theirs}), lambda z: coalesce(z[1].t = z[2].t, false))"
-    return f"list_transform({mine}[1 : coalesce(nullif(list_position({same}, false), 0), 1000000) - 1], lambda x: x.line)"
-
-
 LINE_DEDUP = f"""
 with l as (
   select doc_id, i - 1 as line, trim(x, ' ') as t from (
@@ -19,22 +14,30 @@ p as (
   select *, cast(sum(n) over (partition by doc_id order by line) as bigint) - n as a,
     cast(sum(n) over (partition by doc_id) as bigint) as total from w),
 win as (
-  select doc_id, line, a, total, list(t) over f as content, list(line) over f as ls,
-    list({{'t': t, 'line': line}}) over g as lft, list({{'t': t, 'line': line}}) over h as rgt
+  select doc_id, line, a, total, list(t) over f as content, list(line) over f as ls, last(a + n) over f as e,
+    list({{'t': t, 'line': line}}) over g as lft
   from p window
     f as (partition by doc_id order by a range between current row and {MIN_WORDS - 1} following),
-    g as (partition by doc_id order by a range between {MIN_WORDS} preceding and 1 preceding),
-    h as (partition by doc_id order by a range between current row and {3 * MIN_WORDS} following)),
+    g as (partition by doc_id order by a range between {MIN_WORDS} preceding and 1 preceding)),
 complete as (
-  select doc_id, line, content, ls, coalesce(list_reverse(lft), []) as lr, coalesce(rgt[len(ls) + 1 :], []) as rr
-  from win where a + {MIN_WORDS} <= total),
+  select win.doc_id, win.line, any_value(content) as content, any_value(ls) as ls, coalesce(list_reverse(any_value(lft)), []) as lr,
+    coalesce(list({{'t': p.t, 'line': p.line}} order by p.line) filter (where p.line is not null), []) as rr
+  from win left join p on p.doc_id = win.doc_id and p.a between win.e and win.e + {MIN_WORDS}
+  where win.a + {MIN_WORDS} <= win.total group by win.doc_id, win.line),
+runs as (
+  select doc_id, line, 'window' as side, content, ls as gone from complete
+  union all
+  select doc_id, line, 'left', content || list_transform(lr[1 : j], lambda x: x.t), [lr[j].line]
+  from (select *, unnest(range(1, len(lr) + 1)) as j from complete)
+  union all
+  select doc_id, line, 'right', content || list_transform(rr[1 : j], lambda x: x.t), [rr[j].line]
+  from (select *, unnest(range(1, len(rr) + 1)) as j from complete)),
 met as (
-  select *, first_value({{'d': doc_id, 'k': line, 'l': lr, 'r': rr}}) over (partition by content order by doc_id, line) as first
-  from complete),
+  select *, first_value({{'d': doc_id, 'k': line}}) over (partition by side, content order by doc_id, line) as first from runs),
 gone as (
   select doc_id, list(distinct line) as lines from (
-    select doc_id, unnest(ls || {_agreeing('lr', 'first.l')} || {_agreeing('rr', 'first.r')}) as line
-    from met where doc_id <> first.d or line <> first.k)
+    select doc_id, first, line as k, unnest(gone) as line from met)
+  where doc_id <> first.d or k <> first.k
   group by doc_id),
 counted as (select doc_id, count(*) as n_lines from l group by doc_id)
 select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(len(lines), 0) as n_removed,

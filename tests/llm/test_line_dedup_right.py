@@ -4,6 +4,7 @@ import numpy as np
 
 from barsignal.llm import line_dedup
 from barsignal.llm.common import prepare
+from test_llm import brute_lines
 
 SCHEMA = "doc_id long, text string"
 
@@ -12,35 +13,6 @@ def words(name, n):
     return " ".join(f"{name}{j}" for j in range(n))
 
 
-def by_rule(rows, least):
-    """Places of the deleted lines, straight from the rule in the module's text."""
-    lines = {k: t.split("\n") for k, t in rows}
-    gone, first = {k: set() for k, _ in rows}, {}
-    for k, _ in rows:
-        own = lines[k]
-        starts = np.cumsum([0, *(len(x.split()) for x in own)]).tolist()
-        for s in range(len(own)):
-            e = next((e for e in range(s + 1, len(own) + 1) if starts[e] - starts[s] >= least), None)
-            if e is None:
-                continue
-            fk, fs = first.setdefault(tuple(own[s:e]), (k, s))
-            if (fk, fs) == (k, s):
-                continue
-            theirs = lines[fk]
-            size, at = e - s, np.cumsum([0, *(len(x.split()) for x in theirs)]).tolist()
-            gone[k].update(range(s, e))
-            for step in range(1, min(s, fs) + 1):
-                if own[s - step] != theirs[fs - step] or starts[s] - starts[s - step] > least:
-                    break
-                gone[k].add(s - step)
-            reach = max(starts[e] - starts[s] + least, 3 * least)
-            for step in range(min(len(own) - e, len(theirs) - fs - size)):
-                if own[e + step] != theirs[fs + size + step] or starts[e + step] - starts[s] > reach:
-                    break
-                gone[k].add(e + step)
-    return gone
-
-
 def test_short_lines_after_a_long_line_go(spark):
     prepare(spark)
     long, tail = words("a", 93), words("t", 2) + "\n" + words("u", 5)
@@ -60,10 +32,26 @@ def test_runs_of_long_and_short_lines_equal_the_rule(spark):
         run, at = runs[int(rng.integers(0, 4))], int(rng.integers(0, 9))
         own = [words(f"d{d}k{j}w", int(rng.integers(1, 30))) for j in range(3)]
         rows.append((d, "\n".join([own[0], *run[at : at + int(rng.integers(1, 6))], own[1], *run[: int(rng.integers(1, 4))], own[2]])))
-    want = by_rule(rows, 12)
+    want = brute_lines(rows, 12)
     got = {r.doc_id: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, SCHEMA), 12).collect()}
     assert any(want.values())
     for d, t in rows:
         assert got[d].n_removed == len(want[d])
         if want[d]:
             assert got[d].text == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[d])
+
+
+def test_a_run_that_repeats_a_later_occurrence_goes_whole(spark):
+    """The third text continues as the second does, not as the first: its tail goes as well."""
+    prepare(spark)
+    window, tail = words("a", 25), words("t", 4)
+    rows = [(1, f"{window}\n{words('x', 5)}"), (2, f"{window}\n{tail}"), (3, f"{words('q', 3)}\n{tail}\n{window}\n{tail}"), (4, f"{words('q', 3)}\n{tail}\n{window}")]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: rows[0][1], 2: tail, 3: f"{words('q', 3)}\n{tail}", 4: ""}
+
+
+def test_columns_that_clash(spark):
+    prepare(spark)
+    df = spark.createDataFrame([(1, words("a", 25)), (2, words("a", 25))], SCHEMA).selectExpr("*", "7 as _copy_of", "8 as _dup_lines", "9 as _DUP_DOC")
+    got = line_dedup.line_dedup(df).orderBy("doc_id").collect()
+    assert [(r._copy_of, r._dup_lines, r._DUP_DOC, r.n_removed) for r in got] == [(7, 8, 9, 0), (7, 8, 9, 1)]
