@@ -24,16 +24,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barsignal.llm.common import free_names, shared
 from barsignal.llm.words import mix, text_bytes, word_hashes
+from barsignal.session import remove
 
 # Edits allowed: a quarter of an item's words, none for items under 8 words.
 EDIT_SHARE = 4
 SHORT = 8
 WALKS, SAMPLES, COORDINATES = 6, 12, 3
-# Items whose index is sent to the tasks at once; more items mean more passes.
+# Items, and their characters, whose index is sent to the tasks at once; more mean more passes.
 ITEMS_PER_BLOCK = 20_000
+CHARS_PER_BLOCK = 8_000_000
 PAIR_SLOTS = 1 << 20
 WINDOWS_AT_ONCE = 1 << 14
+# Cells of the windows whose exact distances are taken at once.
+CELLS_AT_ONCE = 1 << 22
 WORDS_AT_ONCE = 1 << 20
 
 HITS = "array<struct<item_id:bigint,start_word:bigint,n_words:bigint,edits:bigint>>"
@@ -69,32 +74,29 @@ class BenchmarkIndex:
         self.by_length: dict[int, np.ndarray] = {}
         for n in sorted({len(x) for x in self.items}):
             self.by_length[n] = np.array([i for i, x in enumerate(self.items) if len(x) == n])
-        self.gap = max([0, *(2 * n for n in self.by_length)]) + 1
         self.seed = seed
-        # Whether a walk moves on at a step over a word.
-        words = np.arange(len(self.vocabulary) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        salts = mix(np.arange(1, WALKS * self.gap + 1, dtype=np.uint64) + np.uint64(seed << 20)).reshape(WALKS, self.gap, 1)
-        self.bits = (((words ^ salts) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(63)).astype(np.int8)
+        # A walk's bit at a step is the top bit of a multiply-add of this and the step's own two numbers.
+        self.mixed = (mix(np.arange(1, len(self.vocabulary) + 2, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
         self.classes = self._length_classes()
         self.tables = {n: self._table(n) for n in self.by_length}
 
-    def _length_classes(self) -> list[tuple[list[int], np.ndarray, np.ndarray]]:
-        """Neighbouring lengths that share a first bound, the words and word pairs of their items."""
+    def _length_classes(self) -> list[list[tuple[list[int], np.ndarray, np.ndarray]]]:
+        """Neighbouring lengths that share a first bound, the words and word pairs of their items; by octave of length."""
         out: list[list[int]] = []
         for n in self.by_length:
-            if out and n <= out[-1][0] * 1.15:
+            if out and n <= out[-1][0] * 1.15 and n.bit_length() == out[-1][0].bit_length():
                 out[-1].append(n)
             else:
                 out.append([n])
-        masks = []
+        octaves: dict[int, list] = defaultdict(list)
         for lengths in out:
             mask, pairs = np.zeros(len(self.vocabulary) + 1, bool), np.zeros(PAIR_SLOTS, bool)
             for n in lengths:
                 for i in self.by_length[n]:
                     mask[self.items[i]] = True
                     pairs[_pair_slots(self.items[i])] = True
-            masks.append((lengths, mask, pairs))
-        return masks
+            octaves[lengths[0].bit_length()].append((lengths, mask, pairs))
+        return list(octaves.values())
 
     def symbols(self, text: str | None) -> np.ndarray:
         """Numbers of a text's words, 0 for words of no item."""
@@ -107,21 +109,22 @@ class BenchmarkIndex:
             out[at] = np.where(self.vocabulary[place] == found[at], place + 1, 0)
         return out
 
-    def keys(self, stream: np.ndarray, starts: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    def keys(self, stream: np.ndarray, mixed: np.ndarray, starts: np.ndarray, n: int) -> Iterator[np.ndarray]:
         """Sample keys of the windows of n words at ``starts``, one array per sample."""
         steps = max(1, 8 * n // 5)  # a walk takes about two steps a word: most stay inside
         draw = np.random.default_rng([self.seed, n])
         for walk in range(WALKS):
             coordinates = draw.integers(0, steps, (SAMPLES, COORDINATES))
+            times, plus = draw.integers(0, 1 << 31, (2, steps)).astype(np.uint32)
+            times = times * np.uint32(2) + np.uint32(1)
             factors = mix(draw.integers(1, 1 << 62, COORDINATES).astype(np.uint64)) | np.uint64(1)
             needed = {int(c) for c in coordinates.ravel()}
             seen: dict[int, np.ndarray] = {}
             at = starts.copy()
             for step in range(max(needed) + 1):
-                word = stream[at]
                 if step in needed:
-                    seen[step] = word.astype(np.uint64)
-                at += self.bits[walk, step][word]
+                    seen[step] = stream[at].astype(np.uint64)
+                at += (mixed[at] * times[step] + plus[step]) >> np.uint32(31)
             for s, places in enumerate(coordinates):
                 key = np.full(len(starts), walk * SAMPLES + s + 1, np.uint64)
                 for c, factor in zip(places, factors, strict=True):
@@ -133,15 +136,15 @@ class BenchmarkIndex:
         stream = np.zeros((len(mine), 2 * n), np.int32)
         stream[:, :n] = [self.items[i] for i in mine]
         out = []
-        for key in self.keys(stream.ravel(), np.arange(len(mine)) * 2 * n, n):
+        for key in self.keys(stream.ravel(), self.mixed[stream.ravel()], np.arange(len(mine)) * 2 * n, n):
             order = np.argsort(key, kind="stable")
             out.append((key[order], mine[order]))
         return out
 
-    def candidates(self, stream: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def candidates(self, stream: np.ndarray, mixed: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(window start, item) pairs that agree in one sample at least."""
         found = []
-        for (keys, items), key in zip(self.tables[n], self.keys(stream, starts, n), strict=True):
+        for (keys, items), key in zip(self.tables[n], self.keys(stream, mixed, starts, n), strict=True):
             lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
             hit = np.flatnonzero(hi > lo)
             if len(hit):
@@ -174,7 +177,7 @@ class BenchmarkIndex:
         for i, text in enumerate(texts):
             symbols = self.symbols(text)
             block.append((i, symbols))
-            size += len(symbols) + self.gap
+            size += len(symbols)
             if size > WORDS_AT_ONCE:
                 self._search(block, out)
                 block, size = [], 0
@@ -182,36 +185,48 @@ class BenchmarkIndex:
         return out
 
     def _search(self, block: list[tuple[int, np.ndarray]], out: list[list]) -> None:
-        if not block or not self.items:
-            return
-        bases = np.concatenate([[0], np.cumsum([len(s) + self.gap for _, s in block])])
-        stream = np.zeros(bases[-1] + self.gap, np.int32)
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for classes in self.classes:
+            # Texts too short for any item of the octave hold none.
+            shortest = min(n - allowed(n) for lengths, _, _ in classes for n in lengths)
+            mine = [(doc, symbols) for doc, symbols in block if len(symbols) >= shortest]
+            if mine:
+                self._search_octave(classes, mine, best)
+        for (doc, item), (edits, start, covered) in best.items():
+            out[doc].extend((i, start, covered, edits) for i in self.ids[item])
+
+    def _search_octave(self, classes: list, block: list[tuple[int, np.ndarray]], best: dict) -> None:
+        gap = 2 * classes[-1][0][-1] + 1
+        bases = np.concatenate([[0], np.cumsum([len(s) + gap for _, s in block])])
+        stream, inside = np.zeros(bases[-1] + gap, np.int32), np.zeros(bases[-1] + gap, bool)
         for base, (_, symbols) in zip(bases, block, strict=False):
             stream[base : base + len(symbols)] = symbols
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+            inside[base : base + len(symbols)] = True
+        mixed = self.mixed[stream]
         slots = _pair_slots(stream)
-        for lengths, mask, known_pairs in self.classes:
+        top = len(stream) - gap
+        for lengths, mask, known_pairs in classes:
             sums = np.concatenate([[0], np.cumsum(mask[stream], dtype=np.int32)])
             pairs = np.concatenate([[0], np.cumsum(known_pairs[slots], dtype=np.int32)])
-            top = len(stream) - self.gap
             span = lengths[-1] + allowed(lengths[-1])
             least = min(n - 1 - 2 * allowed(n) for n in lengths)
-            near = np.flatnonzero(pairs[span - 1 : span - 1 + top] - pairs[:top] >= least)
+            # A window begins at a word of a text, never in the gap before the next.
+            near = np.flatnonzero((pairs[span - 1 : span - 1 + top] - pairs[:top] >= least) & inside[:top])
             for n in lengths:
                 reach = n + allowed(n)
                 starts = near[sums[near + reach] - sums[near] >= n - allowed(n)]
                 starts = starts[pairs[starts + reach - 1] - pairs[starts] >= n - 1 - 2 * allowed(n)]
+                at_once = max(1, min(WINDOWS_AT_ONCE, CELLS_AT_ONCE // reach))
                 for k in range(0, len(starts), WINDOWS_AT_ONCE):
-                    at, items = self.candidates(stream, starts[k : k + WINDOWS_AT_ONCE], n)
-                    for j in range(0, len(at), WINDOWS_AT_ONCE):
-                        a, it = at[j : j + WINDOWS_AT_ONCE], items[j : j + WINDOWS_AT_ONCE]
+                    at, items = self.candidates(stream, mixed, starts[k : k + WINDOWS_AT_ONCE], n)
+                    for j in range(0, len(at), at_once):
+                        a, it = at[j : j + at_once], items[j : j + at_once]
                         edits, covered = self.distances(stream, a, it, n)
                         for h in np.flatnonzero(edits <= allowed(n)):
-                            doc = int(np.searchsorted(bases, a[h], "right")) - 1
-                            found = (int(edits[h]), int(a[h] - bases[doc]), int(covered[h]))
-                            best[doc, int(it[h])] = min(best.get((doc, int(it[h])), found), found)
-        for (doc, item), (edits, start, covered) in best.items():
-            out[block[doc][0]].extend((i, start, covered, edits) for i in self.ids[item])
+                            place = int(np.searchsorted(bases, a[h], "right")) - 1
+                            key = block[place][0], int(it[h])
+                            found = (int(edits[h]), int(a[h] - bases[place]), int(covered[h]))
+                            best[key] = min(best.get(key, found), found)
 
 
 def _searched(index):
@@ -233,17 +248,25 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_te
     each item the closest, then the earliest stretch is named; hits are
     ordered by item. Null texts have none; null items and items without words
     are in no text; repeated items are all named. A column of that name is replaced.
-    Items are searched in blocks of about ``per_block``.
+    Items are searched in blocks of about ``per_block`` items and
+    ``CHARS_PER_BLOCK`` characters; between blocks the rows are written, so
+    one index is held at a time.
     """
     spark = docs.sparkSession
     items = benchmark.where(F.col("item_id").isNotNull() & F.col(item_text).isNotNull()).select("item_id", F.col(item_text).alias("_t")).distinct()
-    blocks = max(1, -(-items.count() // per_block))
-    out = docs.withColumn(name, F.array().cast(HITS))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("_t")), F.lit(0)).alias("chars")).collect()[0]
+    blocks = max(1, -(-size["n"] // per_block), -(-size["chars"] // CHARS_PER_BLOCK))
+    out, written = docs.withColumn(name, F.array().cast(HITS)), None
     for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", "_t"), F.lit(blocks)) == k).collect()
         index = spark.sparkContext.broadcast(BenchmarkIndex(sorted((r["item_id"], r["_t"]) for r in rows)))
-
         out = out.withColumn(name, F.concat(name, _searched(index)(F.col(text))))
+        if k < blocks - 1:
+            before, written = written, shared(out, "benchmark_hits")
+            out = written
+            index.unpersist()
+            if before is not None:
+                remove(before)
     return out.withColumn(name, F.array_sort(name))
 
 
@@ -255,4 +278,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no benchmark item."""
-    return with_hits(docs, benchmark, text, name="_benchmark_hits").where(F.size("_benchmark_hits") == 0).drop("_benchmark_hits")
+    (hits,) = free_names(docs, "_benchmark_hits")
+    return with_hits(docs, benchmark, text, name=hits).where(F.size(hits) == 0).drop(hits)
