@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from barsignal.operators import clean, merge, metrics
 from barsignal.operators.features import FEATURE_DEPTH, FEATURES, all_features_on
@@ -13,6 +13,8 @@ from barsignal.operators.labels import LABEL_DAYS, labels_on
 from barsignal.operators.panel import BLOCK_ROWS, drop_filled, filled_columns, over_blocks
 from barsignal.operators.sentiment import daily_sentiment
 from barsignal.operators.zscore import METHODS, WINDOW_DAYS
+from barsignal.sources.files import NEWS_COLUMNS, strings
+from barsignal.sources.quoted_csv import read_quoted_csv
 
 # Columns whose fractional changes are taken.
 CHANGED = ("Close", "Adj Close", "Volume")
@@ -24,6 +26,12 @@ def clean_news(raw: DataFrame, universe: DataFrame) -> DataFrame:
     return clean.drop_any_null(clean.typed_news(wanted))
 
 
+def ingest_news(spark: SparkSession, path: str, universe: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(articles, refused) of raw news files: the clean articles, and where the files could not be read."""
+    raw, refused = read_quoted_csv(spark, path, strings(NEWS_COLUMNS))
+    return clean_news(raw, universe), refused
+
+
 def clean_prices(raw: DataFrame) -> DataFrame:
     return clean.typed_prices(raw)
 

@@ -198,6 +198,10 @@ NEWS_SHOWN = """No, Date, Article_title, Stock_symbol, Url, Publisher, Author,
     cast(length(Article) as int) as article_length, md5(Lsa_summary) as summary_md5"""
 add("scan_news_csv", f"select {NEWS_SHOWN} from raw_news")
 add("scan_quoted_csv", f"select {NEWS_SHOWN} from raw_news")
+add("scan_stray_quotes", """
+    select cast(doc_id as varchar) as id, case doc_id % 4 when 0 then 'plain "stray" quote' when 1 then '"closed"tail'
+      when 2 then 'odd " one' else 'a "b", c' end as field, md5(text) as text_md5, source, cast(0 as bigint) as refused
+    from documents where text is not null""")
 add("scan_price_csv", f"select {day()}, {rounded(['Open', 'High', 'Low', 'Close', ADJ])}, Volume from raw_prices")
 add("archive_ingest", f"""
     select {day()}, {r('Close')}, Volume, upper(Stock_symbol) as Stock_symbol from raw_prices

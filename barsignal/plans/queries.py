@@ -147,7 +147,7 @@ def _news_shown(df: DataFrame) -> DataFrame:
 
 @query("scan_news_csv")
 def _(spark, sf_dir):
-    return _news_shown(files.scan_news_csv(spark, _news_csv(spark, sf_dir)))
+    return _news_shown(files.scan_news_csv(spark, _news_csv(spark, sf_dir), split=False))
 
 
 @query("scan_quoted_csv")
@@ -156,6 +156,16 @@ def _(spark, sf_dir):
     return _news_shown(quoted_csv.scan_quoted_csv(spark, _news_csv(spark, sf_dir), schema))
 
 
+@query("scan_stray_quotes")
+def _(spark, sf_dir):
+    """Records among quotes that open nothing, and nothing refused."""
+    path = work_dir(spark, "stray_quotes_csv")
+    standins.stray_quotes(spark, sf_dir).write.text(path)
+    found, refused = quoted_csv.read_quoted_csv(spark, path, files.strings(("id", "field", "text", "source")), header=False)
+    lost = refused.agg(F.count(F.lit(1)).alias("refused"))
+    return found.select("id", "field", F.md5(F.col("text").cast("binary")).alias("text_md5"), "source").crossJoin(lost)  # one row
+
+
 @query("scan_price_csv")
 def _(spark, sf_dir):
     path = work_dir(spark, "price_csv")
@@ -315,8 +325,8 @@ def _(spark, sf_dir):
 
 @query("clean_news")
 def _(spark, sf_dir):
-    raw = files.scan_news_csv(spark, _news_csv(spark, sf_dir))
-    return shown(flows.clean_news(raw, silver(spark, sf_dir, "sectors")), "No", "Date", "Stock_symbol", "Url")
+    articles, _ = flows.ingest_news(spark, _news_csv(spark, sf_dir), silver(spark, sf_dir, "sectors"))
+    return shown(articles, "No", "Date", "Stock_symbol", "Url")
 
 
 @query("clean_prices")

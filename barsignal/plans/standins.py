@@ -122,6 +122,20 @@ def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as CSV records, one string each, that carry quotes of every kind; some lines end in CRLF."""
+    kind = F.col("doc_id") % 4
+    field = (
+        F.when(kind == 0, F.lit('plain "stray" quote')).when(kind == 1, F.lit('"closed"tail'))
+        .when(kind == 2, F.lit('odd " one')).otherwise(F.lit('"a ""b"", c"'))
+    )
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    end = F.when(kind == 2, F.lit("\r")).otherwise(F.lit(""))
+    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select(
+        F.concat(F.col("doc_id").cast("string"), F.lit(","), field, F.lit(","), quoted, F.lit(","), F.col("source"), end).alias("value")
+    )
+
+
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars as strings; the open of some is no number."""
     bars = prices(spark, sf_dir)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barsignal.functions.scalars import drop_name_suffix, symbol_from_path
+from barsignal.sources.quoted_csv import scan_quoted_csv
 
 # The columns of the raw files, in file order.
 NEWS_COLUMNS = (
@@ -26,12 +27,14 @@ def file_name() -> Column:
     return F.col("_metadata.file_name")
 
 
-def scan_news_csv(spark: SparkSession, path: str) -> DataFrame:
+def scan_news_csv(spark: SparkSession, path: str, split: bool = True) -> DataFrame:
     """News articles as twelve strings; quotes are doubled, texts span lines.
 
-    A multi-line file is one task. ``scan_quoted_csv`` reads a few very large
-    files in splits instead, with the same result.
+    Files are read in splits, one of any size by many tasks. ``split=False``
+    is Spark's own multi-line scan, one task a file, with the same result.
     """
+    if split:
+        return scan_quoted_csv(spark, path, strings(NEWS_COLUMNS))
     return (
         spark.read.schema(strings(NEWS_COLUMNS))
         .options(header=True, multiLine=True, **CSV_OPTIONS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barsignal import session
 from barsignal.operators import clean
-from barsignal.plans.flows import clean_news, clean_prices
+from barsignal.plans.flows import clean_news, clean_prices, ingest_news
 from barsignal.session import work_dir
 from barsignal.sources import archive, dims, files, quoted_csv, sinks
 from barsignal.sources import paths as paths_of
@@ -58,11 +58,69 @@ def test_split_scan_equals_multiline_scan(spark, tmp_path, split_bytes, newline)
         got = sorted(map(str, quoted_csv.scan_quoted_csv(spark, path, schema).collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    want = sorted(map(str, files.scan_news_csv(spark, path).collect()))
+    want = sorted(map(str, files.scan_news_csv(spark, path, split=False).collect()))
     assert len(got) == 120
     assert got == want
 
 
+STRAY = {
+    "stray quotes": ['a,b,c', '1,he said "no,x', '2,"two\nlines",y', '3,mid"dle"d,"z, z"', '4,"tail"after,"q"', '5,"a ""b"" c","multi\n""line""\nend"', '6,x"y,last'],
+    "open in the middle": ['a,b,c', '1,"x" y,z', '2,"open\n3,fine,row\n4,"closes here",w', '5,"",""', '6,"""",""""""'],
+    "ends in a quote": ['a,b,c', '1,2,"3', '4,5,6"', '7,"8""\n9",10', '11,"x"\t,12'],
+}
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("kind", sorted(STRAY))
+@pytest.mark.parametrize("size", ["40b", "1m"])
+def test_any_quotes_are_read_as_the_multi_line_scan_reads_them(spark, tmp_path, kind, newline, size):
+    path = str(tmp_path / "stray.csv")
+    with open(path, "w", newline="", encoding="utf-8") as out:
+        out.write("".join(record.replace("\n", newline) + newline for record in STRAY[kind] * 3))
+    schema = files.strings(("a", "b", "c"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = sorted(map(str, quoted_csv.scan_quoted_csv(spark, path, schema, header=False).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = sorted(map(str, spark.read.schema(schema).options(multiLine=True, escape='"').csv(path).collect()))
+    assert got == want
+
+
+def test_no_record_swallows_a_file(spark, tmp_path):
+    rows = [f"{i},plain text {i}" for i in range(200)]
+    rows[50] = '50,"never closed'
+    rows[120] = '120,"two\nlines",and "more'
+    rows[121] = '121,"x\ny","open again'
+    for part in ("a", "b"):
+        (tmp_path / f"{part}.csv").write_text("\n".join(rows) + "\n")
+    schema = files.strings(("no", "text"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+    try:
+        found, refused = quoted_csv.read_quoted_csv(spark, str(tmp_path), schema, header=False, max_record=400)
+        kept = sorted(int(r.no) for r in found.collect())
+        lost = sorted((r.file[-5:], r.line, r.n_lines) for r in refused.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert kept == sorted([i for i in range(200) if i not in (50, 121)] * 2)
+    assert lost == [("a.csv", 51, 1), ("a.csv", 123, 2), ("b.csv", 51, 1), ("b.csv", 123, 2)]
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path):
+    write_news(tmp_path / "news.csv", NEWS * 50)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        lines = quoted_csv._lines(spark, str(tmp_path / "news.csv"))
+        assert lines.select("_split").distinct().count() > 10
+        articles, refused = ingest_news(spark, str(tmp_path / "news.csv"), spark.createDataFrame([("AAPL",)], "Stock_symbol string"))
+        assert (articles.count(), refused.count()) == (50, 0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_clean_news_drops_what_does_not_parse(spark, news_csv):
     universe = spark.createDataFrame([("AAPL",), ("MSFT",)], "Stock_symbol string")
     rows = clean_news(files.scan_news_csv(spark, news_csv), universe).orderBy("No").collect()
