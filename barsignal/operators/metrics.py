@@ -69,16 +69,19 @@ def confusion_rates(df: DataFrame) -> DataFrame:
     ).select("r.*", "specificity", "sensitivity")
 
 
-def classification_metrics(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Accuracy, precision, recall and F1; a zero denominator gives 0."""
+def _rates() -> list[Column]:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    return confusion_matrix(df, by).select(
-        *by,
+    return [
         _share(tp + tn, tn + fp + fn + tp).alias("accuracy"),
         _share(tp, tp + fp).alias("precision"),
         _share(tp, tp + fn).alias("recall"),
         _share(2 * tp, 2 * tp + fp + fn).alias("f1"),
-    )
+    ]
+
+
+def classification_metrics(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Accuracy, precision, recall and F1; a zero denominator gives 0."""
+    return confusion_matrix(df, by).select(*by, *_rates())
 
 
 def log_loss(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -86,45 +89,51 @@ def log_loss(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(-F.ln(F.when(F.col("y_test") == 1, p).otherwise(1 - p))).alias("log_loss"))
 
 
-def auc(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Exact area under the ROC curve, ties counting half; NULL with one class.
+def _scored(df: DataFrame, by: Sequence[str], cells: dict[str, Column]) -> DataFrame:
+    """Per group: wins, positives, negatives, summed loss and ``cells``.
 
-    A rank over a whole group would sort the group in one task. Rows are first
-    counted per distinct score; the negatives below a score are those of lower
-    score buckets, from a running sum over buckets, plus those below it in its
-    own bucket.
+    The rows are shuffled once, into counts per group and distinct score;
+    everything else follows from these. A rank over a whole group would sort
+    the group in one task: the negatives below a score are those below it in
+    its own score bucket plus those of lower buckets, a running sum over
+    buckets. Rows without a score or a label count in ``cells`` alone.
     """
-    bucket = F.floor(F.col("y_prob") * SCORE_BUCKETS)
-    positive = (F.col("y_test") == 1).cast("double")
-    scores = (
-        df.groupBy(*by, "y_prob")
-        .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-        .withColumn("bucket", bucket)
+    by, names = list(by), list(cells)
+    known = F.col("y_prob").isNotNull()
+    positive = F.when(known, (F.col("y_test") == 1).cast("double"))
+    counts = df.groupBy(*by, "y_prob").agg(
+        F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"), *[c.alias(n) for n, c in cells.items()]
     )
+    p = F.greatest(F.least(F.col("y_prob"), F.lit(1 - LOG_LOSS_EPSILON)), F.lit(LOG_LOSS_EPSILON))
     earlier = (Window.unboundedPreceding, -1)
 
-    def running(x: str, w) -> Column:
-        return F.coalesce(F.sum(x).over(w.rowsBetween(*earlier)), F.lit(0.0))
+    def below(w) -> Column:
+        return F.coalesce(F.sum("neg").over(w.rowsBetween(*earlier)), F.lit(0.0))
 
-    lower = (
-        scores.groupBy(*by, "bucket")
-        .agg(F.sum("neg").alias("neg_bucket"))
-        .select(*by, "bucket", running("neg_bucket", Window.partitionBy(*by).orderBy("bucket")).alias("neg_lower"))
-    )
-    below = F.col("neg_lower") + running("neg", Window.partitionBy(*by, "bucket").orderBy("y_prob"))
-    wins = F.col("pos") * (below + F.col("neg") / 2)
-    return (
-        scores.join(lower, [*by, "bucket"])
-        .withColumn("wins", wins)
-        .groupBy(*by)
-        .agg(F.sum("wins").alias("w"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-        .select(*by, div(F.col("w"), F.col("p") * F.col("n")).alias("auc"))
+    sums = [F.sum(c).alias(c) for c in ("wins", "pos", "neg", "loss", *names)]
+    buckets = (
+        counts.withColumn("bucket", F.floor(F.col("y_prob") * SCORE_BUCKETS))
+        .withColumn("wins", F.col("pos") * (below(Window.partitionBy(*by, "bucket").orderBy("y_prob")) + F.col("neg") / 2))
+        .withColumn("loss", -(F.col("pos") * F.ln(p) + F.col("neg") * F.ln(1 - p)))
+        .groupBy(*by, "bucket").agg(*sums)
     )
+    lower = below(Window.partitionBy(*by).orderBy("bucket"))
+    return buckets.withColumn("wins", F.col("wins") + F.col("pos") * lower).groupBy(*by).agg(*sums)
+
+
+def _auc() -> Column:
+    return div(F.col("wins"), F.col("pos") * F.col("neg")).alias("auc")
+
+
+def auc(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Exact area under the ROC curve, ties counting half; NULL with one class."""
+    return _scored(df, by, {}).select(*by, _auc())
 
 
 def all_metrics(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    by = list(by)
-    return auc(df, by).join(classification_metrics(df, by), by).join(log_loss(df, by), by)
+    """The six metrics of every group, from one table of counts per score."""
+    loss = div(F.col("loss"), F.col("pos") + F.col("neg")).alias("log_loss")
+    return _scored(df, by, _cells()).select(*by, _auc(), *_rates(), loss)
 
 
 def fold_results(predictions: DataFrame, folds: DataFrame, counts: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -48,6 +48,21 @@ def test_other_metrics(scored):
         assert got[k].log_loss == pytest.approx(sum(losses) / len(losses), rel=1e-6)
 
 
+def test_rows_are_scanned_and_shuffled_once(spark, scored, tmp_path):
+    scored[1].write.parquet(str(tmp_path / "scored"))
+    plan = metrics.all_metrics(spark.read.parquet(str(tmp_path / "scored")), ["fold"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    by_score = [x for x in plan.split("\n") if "Exchange" in x and "y_prob" in x]
+    assert len(by_score) == 1
+
+
+def test_rows_without_score_or_label_count_where_they_can(spark):
+    df = spark.createDataFrame([(1, 0.9, 1), (0, 0.2, 0), (1, None, 1), (None, 0.4, 0)], "y_test int, y_prob double, y_pred int")
+    row = metrics.all_metrics(df, []).first()
+    assert (row.auc, row.recall, row.accuracy) == (1.0, 1.0, 1.0)
+    assert row.log_loss == pytest.approx(-(math.log(0.9) + math.log(0.8)) / 2)
+
+
 def test_half_is_not_above_the_cut(spark):
     df = spark.createDataFrame([(0.5,), (0.5000001,)], "y_prob double")
     assert [r.y_pred for r in metrics.with_prediction(df).collect()] == [0, 1]
