@@ -31,7 +31,8 @@ def get_spark(app: str = "barsignal", master: str | None = None, **conf: str) ->
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    # Fits that run side by side share the cores; read when a session starts.
+    for key, value in {"spark.scheduler.mode": "FAIR", **SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

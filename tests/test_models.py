@@ -99,6 +99,59 @@ def test_saved_models_of_any_category_are_loaded(spark, table, tmp_path):
     assert again.exceptAll(predictions).count() == 0 and again.count() == predictions.count() > 0
 
 
+def test_a_run_that_was_ended_goes_on(spark, table, run, tmp_path, monkeypatch):
+    folder, fits = str(tmp_path / "ended"), []
+    make = models.make_pipeline
+
+    def counted(*args, **kwargs):
+        if len(fits) == 2:
+            raise KeyboardInterrupt
+        fits.append(1)
+        return make(*args, **kwargs)
+
+    monkeypatch.setattr(models, "make_pipeline", counted)
+    with pytest.raises(KeyboardInterrupt):
+        models.walk_forward(table, COLUMNS, models_dir=folder, parallelism=1, **SPAN, **TREES)
+    assert models.model_registry(spark, folder).count() == 2
+    monkeypatch.setattr(models, "make_pipeline", lambda *a, **k: fits.append(1) or make(*a, **k))
+    predictions, status = models.walk_forward(table, COLUMNS, models_dir=folder, resume=True, **SPAN, **TREES)
+    assert len(fits) == 3 and {r.status for r in status.collect()} == {"done"}
+    assert predictions.exceptAll(run[1]).count() == 0 and predictions.count() == run[1].count()
+    models.walk_forward(table, COLUMNS, models_dir=folder, resume=True, **SPAN, **TREES)
+    assert len(fits) == 3
+    models.walk_forward(table, COLUMNS, models_dir=folder, resume=True, **SPAN, **{**TREES, "rate": 0.5})  # other settings
+    assert len(fits) == 6
+
+
+def test_jobs_do_not_follow_the_folds(spark, table, run):
+    registry = models.model_registry(spark, run[0])
+    jobs, numbers = [], []
+    for k, days in enumerate((SPAN["test_days"], 3)):
+        spark.sparkContext.setJobGroup(f"scored-{k}", "saved models")
+        predictions, status = models.evaluate_saved(table, registry, SPAN["train_days"], days)
+        predictions.write.format("noop").mode("overwrite").save()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"scored-{k}")))
+        numbers.append(status.count())
+    spark.sparkContext.setJobGroup("rest", "")
+    assert numbers[1] >= 4 * numbers[0] and jobs[1] <= jobs[0] + 3
+
+
+def test_a_model_is_applied_in_parts(spark, table, run, monkeypatch):
+    monkeypatch.setattr(models, "SCORED_ROWS", 7)
+    again, _ = models.evaluate_saved(table, models.model_registry(spark, run[0]), **SPAN)
+    assert again.exceptAll(run[1]).count() == 0 and again.count() == run[1].count()
+
+
+def test_a_model_that_is_gone(spark, table, run):
+    registry = models.model_registry(spark, run[0]).withColumn(
+        "model_path", F.when(F.col("category") == "B", F.lit("/nowhere/at/all")).otherwise(F.col("model_path"))
+    )
+    with pytest.raises(FileNotFoundError):
+        models.evaluate_saved(table, registry, **SPAN)
+    _, status = models.evaluate_saved(table, registry, on_error="skip", **SPAN)
+    assert {(r.category, r.status) for r in status.collect()} == {("A", "done"), ("B", "failed")}
+
+
 def test_no_saved_model(spark, tmp_path):
     assert models.model_registry(spark, str(tmp_path / "nothing")).count() == 0
 
