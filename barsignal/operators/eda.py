@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barsignal.functions.rolling import div
 from barsignal.functions.scalars import percent
 from barsignal.operators.features import FEATURE_GROUPS, FEATURES, MODEL_GROUPS
-from barsignal.operators.quantiles import exact_quantiles
+from barsignal.operators.quantiles import column_summaries, ranked_quantiles
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 QUARTILES = (0.25, 0.5, 0.75)
@@ -25,7 +25,7 @@ def row_count(df: DataFrame) -> DataFrame:
 def sector_counts(df: DataFrame) -> DataFrame:
     """Rows per category, with the number of categories beside."""
     counts = df.groupBy("category").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.withColumn("categories", F.count("category").over(Window.partitionBy()))
+    return counts.withColumn("categories", df.agg(F.countDistinct("category")).scalar())
 
 
 def distinct_symbols(df: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value and their share in percent, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())  # of the counts: one row per value
+    total = df.agg(F.count(F.lit(1))).scalar()  # a scalar of its own: the values never meet in one task
     return counts.withColumn("percent", div(F.col("count"), total) * 100).orderBy(F.desc("count"), column)
 
 
@@ -75,17 +75,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per column."""
     columns = list(columns or numeric_columns(df))
-    fns = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            *[fn(F.col(f"`{c}`").cast("double")).alias(n) for n, fn in fns.items()],
-        )
-        for c in columns
-    ]
-    base = df.agg(F.array(*cells).alias("s")).select(F.explode("s").alias("r")).select("r.*")
+    summaries, ranges = column_summaries(df, columns, QUARTILES)
+    stats = ("column", "count", "mean", "std", "min", "max")
+    base = df.sparkSession.createDataFrame(
+        [tuple(row[c] for c in stats) for row in summaries], "column string, count bigint, mean double, std double, min double, max double"
+    )
     quartiles = (
-        exact_quantiles(df, columns, QUARTILES)
+        ranked_quantiles(df, ranges)
         .groupBy(F.col("name").alias("column"))
         .agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"p{int(p * 100)}") for p in QUARTILES])
     )
@@ -181,11 +177,15 @@ def top_abs_corr(df: DataFrame, rows: int = TOP_FEATURES) -> DataFrame:
     return corr_with_label(df).orderBy(F.desc_nulls_last(F.abs("corr")), "feature").limit(rows)
 
 
-def histogram_by_label(df: DataFrame, features: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
+def histogram_by_label(df: DataFrame, features: Sequence[str] | None = None, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Rows in each of ``bins`` equal bins between a feature's own extremes
-    under each label; the last bin is closed. A constant gets unit width."""
-    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in features])
+    under each label; the last bin is closed. A constant gets unit width.
+    Without ``features`` the six of largest absolute correlation with the
+    label are taken, found in the same plan."""
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in features or FEATURES])
     rows = df.select("Label", F.explode(cells).alias("c")).select("Label", "c.*").where("x IS NOT NULL AND Label IS NOT NULL")
+    if features is None:
+        rows = rows.join(F.broadcast(top_abs_corr(df).select("feature")), "feature", "left_semi")  # six rows
     keys = ["feature", "Label"]
     low, high = F.min("x"), F.max("x")
     edges = rows.groupBy(*keys).agg(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barsignal.operators import clean, merge, metrics
 from barsignal.operators.features import FEATURE_DEPTH, FEATURES, all_features_on
@@ -129,3 +131,19 @@ def backtest_report(results: DataFrame, predictions: DataFrame) -> dict[str, Dat
         "symbol_leaders": metrics.symbol_leaders(predictions),
         "symbol_laggards": metrics.symbol_laggards(predictions),
     }
+
+
+def report_values(tables: dict[str, DataFrame]) -> DataFrame:
+    """Any set of report tables in one long form: (table, key, metric, value).
+
+    The key joins a row's texts, dates and whole years by "|"; every other
+    number is a value.
+    """
+    parts = []
+    for name, table in tables.items():
+        keys = [c for c, t in table.dtypes if t in ("string", "date", "timestamp") or c == "year"]
+        values = [c for c in table.columns if c not in keys]
+        key = F.concat_ws("|", *[F.col(c).cast("string") for c in keys])
+        wide = table.select(key.alias("key"), *[F.col(c).cast("double").alias(c) for c in values])
+        parts.append(wide.unpivot(["key"], values, "metric", "value").select(F.lit(name).alias("table"), "key", "metric", "value"))
+    return reduce(DataFrame.unionByName, parts)

@@ -136,6 +136,15 @@ CTES["f2"] = f"""
     from f1"""
 CTES["features"] = "select *, Vol_5d / nullif(Vol_20d, 0) as Vol_Ratio, Return_1d * Vol_Ratio_20 as PV_Score from f2"
 
+# The same label on the adjusted close, which the exploration uses.
+CTES["adj_returns"] = f"select Stock_symbol, Date, {ADJ} / nullif({lag(ADJ, 1)}, 0) - 1 as change from panel"
+CTES["adj_next"] = """
+    select *, lead(case when change > 0 then 1 else 0 end, 1) over (partition by Stock_symbol order by Date) as next_up from adj_returns"""
+CTES["adj_counts"] = f"select Stock_symbol, Date, cast({roll('sum', 'next_up', 5)} as bigint) as ups from adj_next"
+CTES["eda_features"] = """
+    select f.* replace (ups as Up_Count_5d, case when ups >= 3 then 1 else 0 end as Label)
+    from features f join adj_counts using (Stock_symbol, Date)"""
+
 
 def z(x: str, window: int = 252) -> str:
     return f"({x} - {roll('avg', x, window)}) / ({roll('stddev_samp', x, window)} + 1e-8)"
@@ -344,7 +353,7 @@ add("all_features_ffill", f"""
     ("filled_bars", f"select *, {FILLED} as px from gap_bars"))
 Z_COLUMNS = [f"{f}_z" for f in FEATURES]
 add("zscore", f"select {KEY}, {rounded(Z_COLUMNS, 5)} from scored")
-add("zscore_sliding", f"select {KEY}, {', '.join(r(z(x, 60), f'{x}_z', 5) for x in ('Return_1d', 'Sent_Net'))} from features")
+add("zscore_sliding", f"select {KEY}, {', '.join(r(z(x, 60), f'{x}_z', 5) for x in FEATURES)} from features")
 add("model_set", f"select {KEY}, category, Label, {rounded(Z_COLUMNS, 5)} from model_set")
 add("panel_sort", f"select {KEY}, {r('Close')} from prices order by Stock_symbol, Date")
 add("model_matrix", f"""
@@ -519,14 +528,17 @@ add("symbol_laggards", f"""
 add("union_predictions", """
     select fold, Stock_symbol, cast(sum(y_pred) as bigint) as predicted, cast(sum(y_test) as bigint) as actual
     from preds group by fold, Stock_symbol""")
-add("backtest_report", """
-    select * from (values ('metrics_overall', 1), ('metrics_summary', 6), ('confusion_matrix', 1), ('confusion_rates', 4),
-      ('symbol_leaders', 10), ('symbol_laggards', 10)) t("table", rows)
-    union all select 'metrics_by_year', count(distinct year({0})) from preds
-    union all select 'metrics_timeline', count(distinct fold) from preds
-    union all select 'daily_labels', count(distinct Date) from preds
-    union all select 'symbol_metrics', count(distinct Stock_symbol) from preds""".format(TEST_START))
-SQL["backtest_report"] = SQL["backtest_report"].replace("select * from (values", "select \"table\", cast(rows as bigint) as rows from (values")
+REPORT = {  # key and values of the report's tables
+    "metrics_overall": ("''", SIX), "metrics_summary": ("Metric", ["Mean", "Std", "Min", "Max"]), "metrics_by_year": ("cast(year as varchar)", SIX),
+    "metrics_timeline": ("test_start", [m for m in SIX if m != "log_loss"]), "confusion_matrix": ("''", ["tn", "fp", "fn", "tp"]),
+    "confusion_rates": ("Metric", ["Count", "Percentage", "specificity", "sensitivity"]), "daily_labels": ("Date", ["y_test", "y_pred"]),
+    "symbol_metrics": ("Stock_symbol", FOUR), "symbol_leaders": ("Stock_symbol", FOUR), "symbol_laggards": ("Stock_symbol", FOUR),
+}
+SQL["backtest_report"] = " union all ".join(
+    f"""select '{t}' as "table", {key} as key, unnest([{', '.join(f"'{v}'" for v in values)}]) as metric,
+        unnest([{', '.join(f'cast({v} as double)' for v in values)}]) as value from ({SQL[t]}) as {t}_table"""
+    for t, (key, values) in REPORT.items()
+)
 
 # Exploration
 add("sector_counts", "select category, count(*) as rows, count(*) over () as categories from panel group by category")
@@ -535,12 +547,12 @@ add("value_counts", f"""
     select Stock_symbol, count(*) as count, {r('count(*) * 100.0::double / (select count(*) from panel )', 'percent')}
     from panel group by Stock_symbol""")
 add("label_by_symbol", f"""
-    select Stock_symbol, {r('avg(1 - Label)', 'label_0')}, {r('avg(Label)', 'label_1')} from features group by Stock_symbol""")
+    select Stock_symbol, {r('avg(1 - Label)', 'label_0')}, {r('avg(Label)', 'label_1')} from eda_features group by Stock_symbol""")
 add("class_balance", """
     select count(*) as original_samples, count(Up_Count_5d) as after_filtering,
            count(*) filter (where Up_Count_5d is not null and Label = 1) as label_1,
            count(*) filter (where Up_Count_5d is not null and Label = 0) as label_0
-    from features""")
+    from eda_features""")
 
 
 def describe(source: str, columns: Sequence[str]) -> str:
@@ -573,7 +585,7 @@ def corr_rows(columns: Sequence[str]) -> str:
 for group in ("momentum", "volatility", "volume", "sentiment"):
     add(f"corr_{group}", corr_rows(FEATURE_GROUPS[group]))
 LABEL_CORR = ("label_corr", " union all ".join(
-    f"select '{f}' as feature, '{g}' as feature_group, corr({f}, Label) as c from features"
+    f"select '{f}' as feature, '{g}' as feature_group, corr({f}, Label) as c from eda_features"
     for g, fs in MODEL_GROUPS.items() for f in fs
 ))
 HALF = list(combinations((*FEATURES, "Label"), 2))
@@ -591,11 +603,13 @@ add("hist_by_label", f"""
     select e.feature, e.Label, e.bin, {r('low + e.bin * ((high - low) / 30)', 'bin_start')}, count(c.bin) as count
     from edge_bins e left join slots c on c.feature = e.feature and c.Label = e.Label and c.bin = e.bin
     group by e.feature, e.Label, e.bin, low, high""",
-    ("cells", " union all ".join(f"select '{f}' as feature, Label, {f} as x from features where {f} is not null" for f in FEATURES[:6])),
-    ("edges", "select feature, Label, min(x) as low, max(x) as high from cells group by feature, Label"),
+    ("cells", " union all ".join(f"select '{f}' as feature, Label, {f} as x from eda_features where {f} is not null" for f in FEATURES)),
+    LABEL_CORR, ("best", "select feature from label_corr order by abs(c) desc, feature limit 6"),
+    ("chosen", "select cells.* from cells join best using (feature)"),
+    ("edges", "select feature, Label, min(x) as low, max(x) as high from chosen group by feature, Label"),
     ("edge_bins", "select feature, Label, low, high, cast(unnest(range(30)) as int) as bin from edges"),
     ("slots", """select c.feature, c.Label, cast(least(floor((x - low) / ((high - low) / 30)), 29) as int) as bin
-        from cells c join edges e on c.feature = e.feature and c.Label = e.Label"""))
+        from chosen c join edges e on c.feature = e.feature and c.Label = e.Label"""))
 COMPLETE_ROW = " and ".join(f"{f} is not null" for f in FEATURES)
 add("quality_summary", f"""
     select count(*) as rows, cast(min(Date) as varchar) as first_date, cast(max(Date) as varchar) as last_date,

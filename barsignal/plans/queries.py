@@ -68,6 +68,8 @@ _BUILDERS: dict[str, Query] = {
     "raw_prices": standins.raw_prices,
     "panel": _panel,
     "features": lambda s, d: flows.labelled_features(silver(s, d, "panel")),
+    # The exploration labels days on the adjusted close.
+    "eda_features": lambda s, d: flows.labelled_features(silver(s, d, "panel"), price_col="Adj Close"),
 }
 
 
@@ -542,8 +544,8 @@ def _(spark, sf_dir):
 
 @query("zscore_sliding")
 def _(spark, sf_dir):
-    scored = zscore.normalize_features(silver(spark, sf_dir, "features"), ["Return_1d", "Sent_Net"], window=60, method="sliding")
-    return shown(scored, *KEY, "Return_1d_z", "Sent_Net_z", places=5)
+    scored = zscore.normalize_features(silver(spark, sf_dir, "features"), window=60, method="sliding")
+    return shown(scored, *KEY, *Z_COLUMNS, places=5)
 
 
 @query("model_set")
@@ -818,9 +820,8 @@ def _(spark, sf_dir):
 
 @query("backtest_report")
 def _(spark, sf_dir):
-    """All report tables, as (table, rows)."""
-    tables = flows.backtest_report(results(spark, sf_dir), predictions(spark, sf_dir))
-    return _stack(*[eda.row_count(t).withColumn("table", F.lit(n)) for n, t in tables.items()])
+    """Every value of every report table."""
+    return shown(flows.report_values(flows.backtest_report(results(spark, sf_dir), predictions(spark, sf_dir))), places=8)
 
 
 # Exploration --------------------------------------------------------------
@@ -842,12 +843,12 @@ def _(spark, sf_dir):
 
 @query("label_by_symbol")
 def _(spark, sf_dir):
-    return shown(eda.label_by_symbol(silver(spark, sf_dir, "features")))
+    return shown(eda.label_by_symbol(silver(spark, sf_dir, "eda_features")))
 
 
 @query("class_balance")
 def _(spark, sf_dir):
-    return eda.class_balance(silver(spark, sf_dir, "features"))
+    return eda.class_balance(silver(spark, sf_dir, "eda_features"))
 
 
 @query("describe_panel")
@@ -876,12 +877,12 @@ for _group in ("momentum", "volatility", "volume", "sentiment"):
 
 @query("corr_with_label")
 def _(spark, sf_dir):
-    return shown(eda.corr_with_label(silver(spark, sf_dir, "features")))
+    return shown(eda.corr_with_label(silver(spark, sf_dir, "eda_features")))
 
 
 @query("corr_with_label_by_group")
 def _(spark, sf_dir):
-    return shown(eda.corr_with_label_by_group(silver(spark, sf_dir, "features")))
+    return shown(eda.corr_with_label_by_group(silver(spark, sf_dir, "eda_features")))
 
 
 @query("corr_matrix")
@@ -891,22 +892,22 @@ def _(spark, sf_dir):
 
 @query("corr_top10")
 def _(spark, sf_dir):
-    return shown(eda.corr_top(silver(spark, sf_dir, "features")))
+    return shown(eda.corr_top(silver(spark, sf_dir, "eda_features")))
 
 
 @query("corr_bottom10")
 def _(spark, sf_dir):
-    return shown(eda.corr_bottom(silver(spark, sf_dir, "features")))
+    return shown(eda.corr_bottom(silver(spark, sf_dir, "eda_features")))
 
 
 @query("top_abs_corr")
 def _(spark, sf_dir):
-    return shown(eda.top_abs_corr(silver(spark, sf_dir, "features")))
+    return shown(eda.top_abs_corr(silver(spark, sf_dir, "eda_features")))
 
 
 @query("hist_by_label")
 def _(spark, sf_dir):
-    return shown(eda.histogram_by_label(silver(spark, sf_dir, "features"), features.FEATURES[:6]))
+    return shown(eda.histogram_by_label(silver(spark, sf_dir, "eda_features")))
 
 
 @query("quality_summary")
