@@ -40,10 +40,15 @@ def get_spark(app: str = "barsignal", master: str | None = None, **conf: str) ->
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting it lies in the warehouse folder, which driver and
-    executors share as well.
+    Without that setting it lies in the warehouse folder. On a cluster that
+    must be a shared one: a folder of the driver's own machine is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        own = root.startswith("file:") or "://" not in root
+        if own and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
