@@ -8,6 +8,10 @@ LINKS = 16
 BUILD_BEAM = 48
 QUERIES_AT_ONCE = 256
 EXPANDED = 4
+# A beam wider than this share of the graph costs more than a product with all its points.
+WIDE = 1 / 16
+# An audit draws queries until so many have partners, or so many blocks of queries are drawn.
+PARTNERED, AUDIT_BLOCKS = 16, 8
 
 
 class Graph:
@@ -148,33 +152,44 @@ class Graph:
     def within(self, q: np.ndarray, least: float, width: int, audit: int = 64, recall: float = 0.99) -> tuple[np.ndarray, np.ndarray]:
         """(query, point) pairs of similarity ``least`` or more.
 
-        The beam of a query widens until its worst member is out; the beams of
-        all widen until ``audit`` queries, compared with every point, miss no
-        more than ``recall`` allows. A beam over all points is exact.
+        The beam of a query widens until its worst member is out; one that
+        would widen past WIDE of the graph gives way to products with all its
+        points, which are exact. The beams of all widen until the audited
+        queries, compared with every point, find at least ``recall`` of their
+        partners, each query counting alike. ``audit`` queries are drawn at a
+        time.
         """
-        n = len(self.x)
-        if not n or not len(q):
+        if not len(self.x) or not len(q):
             return np.empty(0, np.int64), np.empty(0, np.int64)
         q = np.ascontiguousarray(q, np.float32)
-        tried = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-        truth = q[tried] @ self.x.T >= least
+        drawn = np.random.default_rng(len(q)).permutation(len(q))[: audit * AUDIT_BLOCKS]
+        tried, partners = [], 0
+        for s in range(0, len(drawn), audit):
+            part = drawn[s : s + audit]
+            truth = q[part] @ self.x.T >= least
+            some = truth.any(1)
+            tried += list(zip(part[some].tolist(), truth[some].sum(1).tolist(), strict=True))
+            # A query that is its own only partner says nothing.
+            partners += int((truth.sum(1) > 1).sum())
+            if partners >= PARTNERED:
+                break
         while True:
             rows, points = self._pairs(q, least, width)
-            found = np.zeros_like(truth)
-            place = np.full(len(q), -1)
-            place[tried] = np.arange(len(tried))
-            audited = place[rows] >= 0
-            found[place[rows[audited]], points[audited]] = True
-            if width >= n or (found & truth).sum() >= recall * truth.sum():
+            found = np.bincount(rows, minlength=len(q))
+            if width >= len(self.x) or np.mean([found[i] / n for i, n in tried] or [1.0]) >= recall:
                 return rows, points
-            width *= 2
+            width = 2 * width if width <= WIDE * len(self.x) else len(self.x)
 
     def _pairs(self, q: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
         out, asked = [], np.arange(len(q))
-        while len(asked):
+        first = True
+        while len(asked) and (first or width <= WIDE * len(self.x)):
             ids, sims = self.search(q[asked], width)
             more = (sims[:, -1] >= least) & (width < len(self.x))
             rows, cols = np.nonzero((sims >= least) & (ids >= 0) & ~more[:, None])
             out.append((asked[rows], ids[rows, cols].astype(np.int64)))
-            asked, width = asked[more], min(4 * width, len(self.x))
+            asked, width, first = asked[more], 4 * width, False
+        for s in range(0, len(asked), QUERIES_AT_ONCE):
+            rows, points = np.nonzero(q[asked[s : s + QUERIES_AT_ONCE]] @ self.x.T >= least)
+            out.append((asked[s + rows], points.astype(np.int64)))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
