@@ -105,8 +105,9 @@ def gradient(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[f
 
 
 class Adam:
-    def __init__(self, p: dict, rate: float) -> None:
-        self.p, self.rate, self.t = p, rate, 0
+    def __init__(self, p: dict, rate: float, slower: dict[str, float] | None = None) -> None:
+        """``slower`` gives factors of the rate by parameter."""
+        self.p, self.rate, self.slower, self.t = p, rate, slower or {}, 0
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
 
@@ -116,4 +117,4 @@ class Adam:
         for k, x in g.items():
             self.m[k] += 0.1 * (x - self.m[k])
             self.v[k] += 0.001 * (x * x - self.v[k])
-            self.p[k] -= (self.rate * fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(F32)
+            self.p[k] -= (self.rate * self.slower.get(k, 1.0) * fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(F32)

@@ -29,6 +29,11 @@ GRAMS = 4096  # twelve bits of a hash
 DIM, HIDDEN = 8, 8
 WINDOW, STRIDE = 32, 24
 EPOCHS, BATCH, RATE = 5, 64, 0.01
+# Steps at least, on few rows in more epochs; the word table starts small and learns slowly, as most words come in few texts.
+STEPS = 180
+TABLE_START, WORD_RATE = 0.5, 0.3
+# Roots of likelihood ratios that some of some thousand words reach by chance.
+CHANCE = 3.5
 WINDOWS_AT_ONCE = 2048
 CHARS_AT_ONCE = 1 << 22
 THRESHOLD = 0.3
@@ -124,9 +129,10 @@ def _windows(n: int, draw: np.random.Generator) -> np.ndarray:
     return starts if len(starts) <= TRAIN_WINDOWS else np.sort(draw.choice(starts, TRAIN_WINDOWS, replace=False))
 
 
-def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None = None, seed: int = 3, epochs: int = EPOCHS) -> ToxicityModel:
+def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None = None, seed: int = 3, epochs: int | None = None) -> ToxicityModel:
     """Trains on (text, label) pairs. Without both labels the score is the smoothed share of label 1.
 
+    Without ``epochs`` there are EPOCHS, or as many as STEPS steps need.
     ``counts`` of all labelled rows by label move the scores from the share
     of label 1 in the sample to that among all.
     """
@@ -142,6 +148,8 @@ def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None =
     words, df = np.unique(pair_words, return_counts=True)
     vocabulary = np.sort(words[np.argsort(-df, kind="stable")[:WORDS]][: int((df >= 3).sum())])
     p = bigru.init(len(vocabulary) + 1, GRAMS, DIM, HIDDEN, seed)
+    for name in ("words", "grams"):
+        p[name] *= TABLE_START
     share = (y.sum() + 1) / (len(y) + 2)
     model = ToxicityModel(vocabulary, p)
     model.chars_of_known = np.zeros((len(vocabulary), DIM), np.float32)
@@ -149,17 +157,15 @@ def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None =
     if not 0 < y.sum() < len(y) or not len(hashes):
         p["out"][:] = 0
         return model
-    # The first component of a known word starts as its log-odds.
+    # The first component of a known word starts as the evidence for its side, beyond what chance explains.
     known = np.isin(pair_words, vocabulary)
     at = np.searchsorted(vocabulary, pair_words[known])
-    toxic = y[pair_docs[known]]
-    ones = np.bincount(at, toxic, len(vocabulary)) + 0.5
-    zeros = np.bincount(at, 1 - toxic, len(vocabulary)) + 0.5
-    odds = np.log(ones / (y.sum() + 1)) - np.log(zeros / ((1 - y).sum() + 1))
-    p["words"][1:, 0] = np.clip(odds, -3, 3) / 2
+    p["words"][1:, 0] = _evidence(np.bincount(at, y[pair_docs[known]], len(vocabulary)), np.bincount(at, minlength=len(vocabulary)), y.mean())
     place = model.places(hashes)
     tried = [_windows(int(n), draw) for n in sizes]
-    adam = bigru.Adam(p, RATE)
+    adam = bigru.Adam(p, RATE, {"words": WORD_RATE})
+    a_round = -(-(len(y) + int((y == 0).sum())) // BATCH)
+    epochs = epochs or max(EPOCHS, -(-STEPS // a_round))
 
     def batch(docs: np.ndarray, begins: np.ndarray):
         at = begins[:, None] + np.arange(WINDOW)
@@ -196,6 +202,15 @@ def fit_toxicity(sample: list[tuple[str, int]], counts: dict[int, int] | None =
     return model
 
 
+def _evidence(toxic: np.ndarray, texts: np.ndarray, share: float) -> np.ndarray:
+    """Signed root of the likelihood ratio of words in ``texts`` texts, ``toxic`` of them toxic, against ``share``; 0 within CHANCE."""
+    clean = texts - toxic
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where(toxic > 0, toxic * np.log(toxic / (texts * share)), 0) + np.where(clean > 0, clean * np.log(clean / (texts * (1 - share))), 0)
+    root = np.sqrt(2 * np.maximum(ratio, 0))
+    return np.sign(toxic - texts * share) * np.clip(root - CHANCE, 0, 3)
+
+
 def _known_chars(model, slots, starts, ends, hashes) -> np.ndarray:
     """Character part of the known words, from a place where each stands."""
     words, first = np.unique(hashes, return_index=True)
