@@ -146,8 +146,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD,
     Links join vectors of one non-null label and one length. n_links counts
     the other rows linked directly; component_id is the smallest vec_id that
     links reach. Vectors without a direction, null labels and null ids link
-    with nothing: their component is their own id, and they are kept. Rows of
-    one vec_id with several vectors are one node: links of each count for all.
+    with nothing: their component is their own id, and they are kept. An id is
+    taken to name one vector; rows of one id with several may share their links.
     """
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
     fit = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable()
