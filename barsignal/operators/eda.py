@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barsignal.functions.rolling import div
 from barsignal.functions.scalars import percent
+from barsignal.operators.comoments import co_moments
 from barsignal.operators.features import FEATURE_GROUPS, FEATURES, MODEL_GROUPS
 from barsignal.operators.quantiles import column_summaries, ranked_quantiles
 
@@ -105,41 +106,23 @@ def missing_values(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str], half: bool = False) -> DataFrame:
     """(x, y, corr) of every column of ``left`` with every one of ``right``.
 
-    Pearson over the rows where both hold a value; NULL where either is
-    constant there. ``half`` keeps the pairs above the diagonal. Rows become
-    pairs within the scan's stage and are summed per pair before the shuffle.
+    Pearson over the rows where both hold a value; NULL where there are none
+    or either is constant there. ``half`` keeps the pairs on and above the
+    diagonal.
     """
-
-    def values(columns: Sequence[str]) -> Column:
-        return F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
-
-    def name(columns: Sequence[str], i: str) -> Column:
-        return F.get(F.array(*[F.lit(c) for c in columns]), F.col(i))
-
-    # F.corr would divide by zero on a constant column in ANSI mode.
-    pearson = div(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
-    return (
-        df.select(values(left).alias("l"), values(right).alias("r"))
-        .select("r", F.posexplode("l").alias("i", "x"))
-        .where("x IS NOT NULL")
-        .select("i", "x", F.posexplode("r").alias("j", "y"))
-        .where("y IS NOT NULL" + (" AND i < j" if half else ""))
-        .groupBy("i", "j")
-        .agg(pearson.alias("corr"))
-        .select(name(left, "i").alias("x"), name(right, "j").alias("y"), "corr")
-    )
+    names = [(i, j, x, y) for i, x in enumerate(left) for j, y in enumerate(right) if i <= j or not half]
+    pairs = df.sparkSession.createDataFrame(names, "i int, j int, x string, y string")
+    pearson = div(F.col("cxy"), F.sqrt("cxx") * F.sqrt("cyy"))
+    return pairs.join(co_moments(df, left, right, half), ["i", "j"], "left").select("x", "y", pearson.alias("corr"))
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] = (*FEATURES, "Label")) -> DataFrame:
-    """(x, y, corr) of the full matrix: each pair once, mirrored, and 1 with
-    itself."""
-    pair = F.struct("x", "y")
-    mirrored = F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
+    """(x, y, corr) of the full matrix: each pair once, mirrored, and exactly 1
+    with itself, NULL for a constant or empty column."""
+    mirrored = F.array(F.struct("x", "y", "corr"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "corr"))
+    itself = F.array(F.struct("x", "y", F.when(F.col("corr").isNotNull(), 1.0).alias("corr")))
     half = correlations(df, columns, columns, half=True)
-    both = half.select(F.explode(F.array(pair, mirrored)).alias("p"), "corr").select("p.*", "corr")
-    diagonal = df.agg(*[F.when(F.min(f"`{c}`") < F.max(f"`{c}`"), 1.0).alias(c) for c in columns])
-    same = diagonal.unpivot([], list(columns), "x", "corr").select("x", F.col("x").alias("y"), "corr")
-    return both.unionByName(same)
+    return half.select(F.inline(F.when(F.col("x") == F.col("y"), itself).otherwise(mirrored)))
 
 
 def corr_group(df: DataFrame, group: str) -> DataFrame:

@@ -68,6 +68,41 @@ def test_correlations_are_pairwise_complete(spark, frame):
             assert c == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
 
 
+def test_correlations_of_any_partitions(spark, frame):
+    """Merged blocks equal one block; constants, gaps, far-off means and empty columns keep their meaning."""
+    rng = np.random.default_rng(8)
+    data = pd.DataFrame({
+        "far": 1e9 + rng.normal(0, 1, 3000), "near": rng.normal(0, 1, 3000), "steps": np.arange(3000) // 1000 * 1.0,
+        "tenth": 0.1, "tenth_in_gaps": np.where(np.arange(3000) % 7 == 0, 0.1, np.nan), "none": np.nan,
+    })
+    data["near"] += data["far"] - 1e9
+    columns, want = list(data), data.assign(far=data["far"] - 1e9).corr()  # the subtraction is exact
+    df = as_spark(spark, data)
+    for parts in (1, 3, 40):
+        got = {(r.x, r.y): r["corr"] for r in eda.corr_matrix(df.repartition(parts), columns).collect()}
+        assert len(got) == 36
+        for (a, b), c in got.items():
+            if {a, b} & {"tenth", "tenth_in_gaps", "none"}:
+                assert c is None, (a, b, parts)
+            else:
+                assert c == pytest.approx(want.loc[a, b], abs=1e-9), (a, b, parts)
+    nothing = eda.corr_matrix(df.limit(0), columns).collect()
+    assert len(nothing) == 36 and all(r["corr"] is None for r in nothing)
+
+
+def test_correlations_meet_odd_values(spark):
+    df = spark.sql("""select * from values (1D, 2D, 1D), (2D, double('NaN'), 3D), (3D, 5D, null), (4D, 1D, 9D),
+        (null, double('inf'), 2D) as t(a, b, c)""")
+    got = {(r.x, r.y): r["corr"] for r in eda.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert np.isnan(got["a", "b"]) and np.isnan(got["b", "c"])
+    assert got["a", "c"] == pytest.approx(np.corrcoef([1, 2, 4], [1, 3, 9])[0, 1])
+
+
+def test_correlations_do_not_multiply_rows(spark, frame):
+    plan = eda.corr_matrix(as_spark(spark, frame), ["normal", "gaps", "Label"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("MapInArrow")  # of finished pairs only
+
+
 def test_correlation_ranking(spark):
     x = np.arange(100.0)
     frame = pd.DataFrame({"Label": (x > 60).astype(int), "up": x, "down": -x, "flat": 1.0, "weak": np.sin(x * 7)})
