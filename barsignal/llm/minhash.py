@@ -10,8 +10,9 @@ Documents of one shingle set are one class. A band's bucket never yields all
 its pairs: first every member meets the bucket's hub, the class that meets most
 others over all buckets (the original of many copies, as a rule); then, only
 in buckets that still hold several components, members outside the largest one
-meet all members in blocks of bounded size, where pairs in reach are confirmed
-from the likeliest on until their components have met. A pair is tried in the
+meet all members in blocks of bounded size: registers alone name the members in
+reach of another, whose texts are then read, and their pairs are confirmed from
+the likeliest on until their components have met. A pair is tried in the
 first band it shares. Every pair of a bucket is thus confirmed, refuted,
 estimated out of reach, or already connected.
 """
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barsignal.llm.common import shared
+from barsignal.llm.common import free_names, shared
 from barsignal.llm.components import components
 from barsignal.llm.words import mix, text_bytes, word_hashes
 
@@ -45,6 +46,10 @@ _PLACES = _SEEDS[:SHINGLE]
 _FACTORS = _SEEDS[SHINGLE : SHINGLE + REGISTERS]
 _OFFSETS = _SEEDS[SHINGLE + REGISTERS : SHINGLE + 2 * REGISTERS]
 
+# A bucket's members meet in blocks: the part of all members, the part of those outside its largest component.
+BLOCK_KEYS = ["bucket", "_block", "_chunk"]
+MEMBER = [*BLOCK_KEYS, "band", "rep", "comp", "_out"]
+
 SKETCH = "doc_id long, n_shingles long, set_id binary, registers binary, bands array<bigint>"
 
 
@@ -138,19 +143,17 @@ def _in_reach(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    kept: dict[tuple, np.ndarray] = {}
+    kept: dict[str, np.ndarray] = {}
 
-    def of(doc, text):
-        if (doc, len(text)) not in kept:
+    def of(text):
+        if text not in kept:
             if len(kept) > 64:
                 kept.clear()
-            kept[doc, len(text)] = shingle_set(text)
-        return kept[doc, len(text)]
+            kept[text] = shingle_set(text)
+        return kept[text]
 
     for batch in batches:
-        good = []
-        for a, b, ta, tb in zip(batch["a"], batch["b"], batch["ta"], batch["tb"], strict=True):
-            good.append(_near(of(a, ta), of(b, tb)))
+        good = [_near(of(a), of(b)) for a, b in zip(batch["ta"], batch["tb"], strict=True)]
         yield batch.loc[np.array(good, bool), ["a", "b"]]
 
 
@@ -160,12 +163,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInPandas(_confirm, "a long, b long").distinct()
 
 
-def _links_of_block(group: pd.DataFrame) -> list[tuple[int, int]]:
-    """Links between components, of members outside the bucket's largest one with all members of the block."""
+def _pairs_in_reach(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, np.ndarray, np.ndarray]:
+    """Members outside the bucket's largest component, all members of the block, and the
+    places of their pairs between components that are in reach, likeliest first."""
     mine, others = group[group["_out"]], group[~group["_out"]]
-    if not len(mine):
-        return []
     both = pd.concat([mine, others]).drop_duplicates("rep")
+    if not len(mine):
+        return mine, both, np.empty(0, np.int64), np.empty(0, np.int64)
     p, q = (np.frombuffer(b"".join(x["registers"]), "<u2").reshape(-1, REGISTERS) for x in (mine, both))
     share, first = np.zeros((len(p), len(q)), np.int16), np.full((len(p), len(q)), BANDS, np.int16)
     for band in range(BANDS - 1, -1, -1):
@@ -176,12 +180,25 @@ def _links_of_block(group: pd.DataFrame) -> list[tuple[int, int]]:
             all_equal &= equal
         first[all_equal] = band
     n, m = np.meshgrid(mine["n_shingles"], both["n_shingles"], indexing="ij")
-    ca, cb = mine["comp"].to_numpy(), both["comp"].to_numpy()
     fits = (DENOMINATOR * np.minimum(n, m) >= NUMERATOR * np.maximum(n, m)) & (share >= REACH * REGISTERS)
-    fits &= (ca[:, None] != cb[None]) & (first == group["band"].iloc[0])
+    fits &= (mine["comp"].to_numpy()[:, None] != both["comp"].to_numpy()[None]) & (first == group["band"].iloc[0])
     rows, cols = np.nonzero(fits)
     guess = estimate(share[rows, cols] / REGISTERS, n[rows, cols], m[rows, cols]) if len(rows) else np.empty(0)
-    order = [i for i in np.argsort(-guess, kind="stable") if guess[i] >= REACH]
+    order = np.argsort(-guess, kind="stable")
+    order = order[guess[order] >= REACH]
+    return mine, both, rows[order], cols[order]
+
+
+def _asked_of_block(group: pd.DataFrame) -> pd.DataFrame:
+    """The members of a block that are in a pair in reach: only their texts are needed."""
+    mine, both, rows, cols = _pairs_in_reach(group)
+    asked = set(mine["rep"].iloc[rows]) | set(both["rep"].iloc[cols])
+    return group.loc[group["rep"].isin(asked), MEMBER]
+
+
+def _links_of_block(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between components, of members outside the bucket's largest one with all members of the block."""
+    mine, both, rows, cols = _pairs_in_reach(group)
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -191,19 +208,20 @@ def _links_of_block(group: pd.DataFrame) -> list[tuple[int, int]]:
         return x
 
     sets: dict[str, np.ndarray] = {}
-    reps, texts, own, own_texts = both["rep"].to_numpy(), both["_text"].to_numpy(), mine["rep"].to_numpy(), mine["_text"].to_numpy()
+    own, own_comps, own_texts = (mine[c].to_numpy() for c in ("rep", "comp", "_text"))
+    reps, comps, texts = (both[c].to_numpy() for c in ("rep", "comp", "_text"))
     out = []
-    for i in order:
-        x, y = find(ca[rows[i]]), find(cb[cols[i]])
+    for i, j in zip(rows, cols, strict=True):
+        x, y = find(own_comps[i]), find(comps[j])
         if x == y:
             continue
-        for text in (own_texts[rows[i]], texts[cols[i]]):
+        for text in (own_texts[i], texts[j]):
             if text not in sets:
                 sets[text] = shingle_set(text)
-        if _near(sets[own_texts[rows[i]]], sets[texts[cols[i]]]):
+        if _near(sets[own_texts[i]], sets[texts[j]]):
             root[max(x, y)] = min(x, y)
-            out.append((own[rows[i]], reps[cols[i]]))
-    return out
+            out.append((own[i], reps[j]))
+    return pd.DataFrame(out, columns=["a", "b"])
 
 
 def _near(x: np.ndarray, y: np.ndarray) -> bool:
@@ -211,17 +229,22 @@ def _near(x: np.ndarray, y: np.ndarray) -> bool:
     return both > 0 and DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both)
 
 
-def _links_of_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rest = None
-    keys = ["bucket", "_block", "_chunk"]
-    for batch in batches:
-        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        cuts = np.flatnonzero((batch[keys].to_numpy()[1:] != batch[keys].to_numpy()[:-1]).any(1)) + 1
-        ends = [0, *cuts.tolist()]
-        yield pd.DataFrame([p for s, e in zip(ends, ends[1:], strict=False) for p in _links_of_block(batch.iloc[s:e])], columns=["a", "b"])
-        rest = batch.iloc[ends[-1] :]
-    if rest is not None and len(rest):
-        yield pd.DataFrame(_links_of_block(rest), columns=["a", "b"])
+def _by_block(work):
+    """``work`` on each block of rows that lie together."""
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            cuts = np.flatnonzero((batch[BLOCK_KEYS].to_numpy()[1:] != batch[BLOCK_KEYS].to_numpy()[:-1]).any(1)) + 1
+            ends = [0, *cuts.tolist()]
+            for s, e in zip(ends, ends[1:], strict=False):
+                yield work(batch.iloc[s:e])
+            rest = batch.iloc[ends[-1] :]
+        if rest is not None and len(rest):
+            yield work(rest)
+
+    return blocks
 
 
 def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -234,8 +257,8 @@ def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, texts: Da
         F.max(F.struct("_k", "comp")).alias("_main")
     )
     buckets = shared(open_buckets.join(sizes, "bucket").select("bucket", "_n", F.col("_main.comp").alias("_main"), (F.col("_n") - F.col("_main._k")).alias("_o")), "open_buckets")
-    sides = classes.select("rep", "n_shingles", "registers").join(texts.toDF("rep", "_text"), "rep")
-    here = now.join(buckets, "bucket").join(sides, "rep")
+    sides = classes.select("rep", "n_shingles", "registers")
+    here = now.join(buckets, "bucket")
     here = here.withColumns({
         "_blocks": F.ceil(F.col("_n") / BLOCK).cast("int"), "_chunks": F.ceil(F.col("_o") / BLOCK).cast("int"),
         "_out": F.col("comp") != F.col("_main"),
@@ -243,11 +266,18 @@ def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, texts: Da
     def dealt(name):
         return F.pmod(F.xxhash64("rep", F.lit(name)), F.col(f"_{name}s")).cast("int")
 
-    columns = ["bucket", "band", "rep", "comp", "n_shingles", "registers", "_text"]
+    columns = ["bucket", "band", "rep", "comp"]
     own = here.select(*columns, F.lit(False).alias("_out"), dealt("block").alias("_block"), F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_chunk"))
     out = here.where("_out").select(*columns, "_out", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"), dealt("chunk").alias("_chunk"))
-    keys = ["bucket", "_block", "_chunk"]
-    return own.unionByName(out).repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_links_of_blocks, "a long, b long").distinct()
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+
+    met = own.unionByName(out).select(*MEMBER)
+    # Registers say which members of a block need their texts; a text goes nowhere before.
+    asked = shared(together(met.join(sides, "rep")).mapInPandas(_by_block(_asked_of_block), met.schema), "asked")
+    read = asked.join(sides, "rep").join(texts.toDF("rep", "_text"), "rep")
+    return together(read).mapInPandas(_by_block(_links_of_block), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,5 +324,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those whose component has a smaller doc_id; all columns stay."""
-    gone = near_duplicates(docs, key, text).where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone_id"), "left_anti")
+    (gone_id,) = free_names(docs, "_gone_id")
+    gone = near_duplicates(docs, key, text).where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col(key) == F.col(gone_id), "left_anti")
