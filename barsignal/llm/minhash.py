@@ -189,14 +189,15 @@ def _pairs_in_reach(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, np
     return mine, both, rows[order], cols[order]
 
 
-def _asked_of_block(group: pd.DataFrame) -> pd.DataFrame:
-    """The members of a block that are in a pair in reach: only their texts are needed."""
+def _asked_of_block(group: pd.DataFrame) -> np.ndarray:
+    """Whether each member of a block is in a pair in reach: only their texts are needed."""
     mine, both, rows, cols = _pairs_in_reach(group)
-    asked = set(mine["rep"].iloc[rows]) | set(both["rep"].iloc[cols])
-    return group.loc[group["rep"].isin(asked), MEMBER]
+    if not len(rows):
+        return np.zeros(len(group), bool)
+    return np.isin(group["rep"].to_numpy(), np.concatenate([mine["rep"].to_numpy()[rows], both["rep"].to_numpy()[cols]]))
 
 
-def _links_of_block(group: pd.DataFrame) -> pd.DataFrame:
+def _links_of_block(group: pd.DataFrame) -> list[tuple[int, int]]:
     """Links between components, of members outside the bucket's largest one with all members of the block."""
     mine, both, rows, cols = _pairs_in_reach(group)
     root: dict[int, int] = {}
@@ -221,7 +222,7 @@ def _links_of_block(group: pd.DataFrame) -> pd.DataFrame:
         if _near(sets[own_texts[i]], sets[texts[j]]):
             root[max(x, y)] = min(x, y)
             out.append((own[i], reps[j]))
-    return pd.DataFrame(out, columns=["a", "b"])
+    return out
 
 
 def _near(x: np.ndarray, y: np.ndarray) -> bool:
@@ -230,23 +231,33 @@ def _near(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def _by_block(work):
-    """``work`` on each block of rows that lie together."""
+    """``work`` on runs of whole blocks, given with the ends of the blocks in them."""
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            cuts = np.flatnonzero((batch[BLOCK_KEYS].to_numpy()[1:] != batch[BLOCK_KEYS].to_numpy()[:-1]).any(1)) + 1
-            ends = [0, *cuts.tolist()]
-            for s, e in zip(ends, ends[1:], strict=False):
-                yield work(batch.iloc[s:e])
+            keys = batch[BLOCK_KEYS].to_numpy()
+            ends = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist()]
+            if len(ends) > 1:
+                yield work(batch.iloc[: ends[-1]], ends)
             rest = batch.iloc[ends[-1] :]
         if rest is not None and len(rest):
-            yield work(rest)
+            yield work(rest, [0, len(rest)])
 
     return blocks
 
 
+def _asked(rows: pd.DataFrame, ends: list[int]) -> pd.DataFrame:
+    found = [_asked_of_block(rows.iloc[s:e]) for s, e in zip(ends, ends[1:], strict=False)]
+    return rows.loc[np.concatenate(found), MEMBER]
+
+
+def _links(rows: pd.DataFrame, ends: list[int]) -> pd.DataFrame:
+    found = [p for s, e in zip(ends, ends[1:], strict=False) for p in _links_of_block(rows.iloc[s:e])]
+    return pd.DataFrame(found, columns=["a", "b"])
+
+
 def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between components that share a bucket."""
     now = members.join(comps.toDF("rep", "_comp"), "rep", "left").select("bucket", "band", "rep", F.coalesce("_comp", "rep").alias("comp"))
@@ -275,9 +286,9 @@ def _between(members: DataFrame, comps: DataFrame, classes: DataFrame, texts: Da
 
     met = own.unionByName(out).select(*MEMBER)
     # Registers say which members of a block need their texts; a text goes nowhere before.
-    asked = shared(together(met.join(sides, "rep")).mapInPandas(_by_block(_asked_of_block), met.schema), "asked")
+    asked = shared(together(met.join(sides, "rep")).mapInPandas(_by_block(_asked), met.schema), "asked")
     read = asked.join(sides, "rep").join(texts.toDF("rep", "_text"), "rep")
-    return together(read).mapInPandas(_by_block(_links_of_block), "a long, b long").distinct()
+    return together(read).mapInPandas(_by_block(_links), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -58,10 +58,17 @@ def test_only_members_in_reach_need_texts():
     members.append(member(0, 0, False, texts[0]))
     block = pd.DataFrame(members)
     asked = minhash._asked_of_block(block.drop(columns="_text"))
-    assert set(asked["rep"]) == {0, 9} and list(asked.columns) == minhash.MEMBER
-    assert minhash._links_of_block(block).values.tolist() == [[9, 0]]
+    assert set(block["rep"][asked]) == {0, 9}
+    assert minhash._links_of_block(block) == [(9, 0)]
     inside = block[~block["_out"]]
-    assert not len(minhash._asked_of_block(inside.drop(columns="_text"))) and not len(minhash._links_of_block(inside))
+    assert not minhash._asked_of_block(inside.drop(columns="_text")).any() and not minhash._links_of_block(inside)
+    # Blocks are told apart wherever batches end.
+    blocks = pd.concat([block.assign(_chunk=k) for k in range(4)], ignore_index=True)
+    for size in (1, 5, 100):
+        batches = [blocks.iloc[s : s + size] for s in range(0, len(blocks), size)]
+        rows = pd.concat(minhash._by_block(minhash._asked)(iter(batches)))
+        assert list(rows.columns) == minhash.MEMBER and sorted(rows["_chunk"]) == sorted(blocks["_chunk"][blocks["rep"].isin([0, 9])])
+        assert len(pd.concat(minhash._by_block(minhash._links)(iter(batches)))) == 4
 
 
 def test_texts_of_one_id_and_length_are_told_apart():
