@@ -17,6 +17,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Window partitions can be merged at run time but not split: start high.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    # Sorted ids compress tenfold and more: 64 MB of shuffled rows, the default,
+    # take gigabytes where a task sorts, joins and groups them.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 

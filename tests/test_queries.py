@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from barsignal.plans import standins
+from barsignal.session import configure
 from check import TYPES, normal
 
 SF = "/root/testdata/sf0.001"
@@ -50,3 +52,17 @@ def test_no_query_compares_all_pairs(spark):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 5698 and "Sent_Lag3" in df.columns
+
+
+def test_news_of_one_task_stay_small(spark, tmp_path):
+    """However well the ids compress, a task of the join gets some megabytes of them."""
+    configure(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
+    n = 40_000
+    spark.range(n).selectExpr("id AS o_orderkey", "timestamp'1996-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(4 * n).selectExpr("id DIV 4 AS l_orderkey", "id % 5 AS l_partkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(5).selectExpr("id AS p_partkey", "'Brand#' || (id DIV 2) AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    news = standins.news(spark, str(tmp_path))
+    assert news.count() == len({(i // 4, i % 5 // 2) for i in range(4 * n)})
+    plan = news._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
