@@ -5,8 +5,9 @@ read as lines, in ordinary splits. What a line does is a function of the state
 it starts in (outside or inside a quoted field): it leaves the reader outside
 or inside. There are four such functions: keep, swap, always outside, always
 inside. They compose by a parity of swaps since the last constant one, so a
-running sum and a running last value give every line's state: first per split,
-then over the splits of a file, then back to the lines.
+running sum and a running last value give every line's state: first per piece
+of a split, then over the pieces of a file, then back to the lines. A piece is
+a run of at most ``PIECE_LINES`` lines, so no task holds a whole split at once.
 
 Quotes mean what they mean to the ordinary scan: a quote opens a field only at
 its start; inside, a doubled quote is a character; a closing quote followed by
@@ -25,6 +26,10 @@ from barsignal.session import materialize
 
 FILE, SPLIT, LINE = "_file", "_split", "_line"
 PLACE = (FILE, SPLIT, "_row")
+# Lines of a split whose states follow from one window.
+PIECE_LINES = 1000
+# Bits of a piece's number below the byte its split starts at.
+PIECE_BITS = 21
 # Characters of a record beyond which its open quote counts as a stray one.
 MAX_RECORD = 16_000_000
 DELIMITER = ","
@@ -51,11 +56,14 @@ def _ends_inside(value: Column, start: int) -> Column:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines in their order within a split, with what they do from either state: _out and _in are 1 if they end inside."""
+    """Lines in their order within a piece of a split, with what they do from either state: _out and _in are 1 if they end inside."""
     quoted = F.col("value").contains('"')
+    # The low 33 bits count the rows of a task: its lines keep their order. Pieces of a file are in the order of the file.
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    piece = F.floor(row / PIECE_LINES)
     lines = spark.read.option("lineSep", "\n").text(path).withColumn("value", F.regexp_replace("value", "\r$", "")).select(
         F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(SPLIT),
+        (F.shiftleft(F.col("_metadata.file_block_start"), PIECE_BITS) + piece).alias(SPLIT),
         F.monotonically_increasing_id().alias(LINE),
         "value",
         F.when(quoted, _ends_inside(F.col("value"), _OUTSIDE)).otherwise(F.lit(False)).cast("int").alias("_out"),
@@ -68,7 +76,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def _states(lines: DataFrame) -> DataFrame:
     """Lines with the state before and after them, their record and their number in the file.
 
-    ``_home`` and ``_no`` name the record: the split it starts in and its rank there.
+    ``_home`` and ``_no`` name the record: the piece it starts in and its rank there.
     """
     constant, swap = F.col("_out") == F.col("_in"), F.col("_out") > F.col("_in")
 
@@ -76,7 +84,7 @@ def _states(lines: DataFrame) -> DataFrame:
         """What the last constant leaves, corrected by the swaps before it."""
         return F.last(F.when(value.isNotNull(), (value + swaps) % 2), ignorenulls=True).over(order)
 
-    in_split = Window.partitionBy(FILE, SPLIT).orderBy("_row")
+    in_split = Window.partitionBy(FILE, SPLIT).orderBy(LINE)  # the order of _row, in which the lines stand already
     upto = in_split.rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("_swaps", F.sum(swap.cast("int")).over(upto))
     lines = lines.withColumn("_known", carried(upto, F.when(constant, F.col("_out")), F.col("_swaps")))
@@ -154,7 +162,7 @@ def read_quoted_csv(
         if found.isEmpty():
             break
         cuts = found if cuts is None else cuts.unionByName(found)
-    states = _states(_cut(lines, cuts).drop(LINE))
+    states = _states(_cut(lines, cuts))
     if cuts is not None:
         states = states.join(
             cuts.withColumn("_stray", F.lit(True)).select(*PLACE, "_stray"), list(PLACE), "left"

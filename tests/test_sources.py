@@ -268,3 +268,18 @@ def test_archive_members_are_spread(spark, tmp_path):
     got = archive.archive_ingest(spark, str(folder), symbols, ("Date", "Open"), parallelism=4)
     tasks = got.withColumn("p", F.spark_partition_id()).select("p").distinct().count()
     assert got.count() == 40 and tasks > 1
+
+
+@pytest.mark.parametrize("lines", [1, 3, 1000])
+def test_pieces_of_a_split_read_alike(spark, tmp_path, monkeypatch, lines):
+    """No window group holds more than a piece, and records that span pieces, splits and files' ends are whole."""
+    monkeypatch.setattr(quoted_csv, "PIECE_LINES", lines)
+    for part in ("a", "b"):
+        text = "".join(record + "\n" for record in STRAY["ends in a quote"] * 9 + STRAY["stray quotes"] * 9)
+        (tmp_path / f"{part}.csv").write_text(text)
+    held = quoted_csv._lines(spark, str(tmp_path)).groupBy("_file", "_split").count().agg({"count": "max"}).first()[0]
+    assert held <= lines
+    schema = files.strings(("a", "b", "c"))
+    got = sorted(map(str, quoted_csv.scan_quoted_csv(spark, str(tmp_path), schema, header=False).collect()))
+    want = sorted(map(str, spark.read.schema(schema).options(multiLine=True, escape='"').csv(str(tmp_path)).collect()))
+    assert got == want
