@@ -88,6 +88,7 @@ class SequenceReader:
         self.file = pa.ipc.open_file(pa.memory_map(name) if local else fs.open_input_file(name))
         meta = self.file.schema.metadata
         self.sequence, self.per_batch = int(meta[b"sequence"]), int(meta[b"per_batch"])
+        self.held: tuple[int, np.ndarray, np.ndarray, int] | None = None
 
     def batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids (sequences x length, no copy) and mask of a batch."""
@@ -95,17 +96,25 @@ class SequenceReader:
         ids = b.column("ids").values.to_numpy(zero_copy_only=True).reshape(-1, self.sequence)
         return ids, b.column("mask").values.to_numpy(zero_copy_only=False).reshape(-1, self.sequence)
 
+    def _held(self, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids and mask of a batch, one after another, and how many lead with a token; the last batch is kept."""
+        if self.held is None or self.held[0] != k:
+            ids, mask = (x.reshape(-1) for x in self.batch(k))
+            gaps = np.flatnonzero(~mask)
+            self.held = k, ids, mask, int(gaps[0]) if len(gaps) else len(mask)
+        return self.held[1:]
+
     def tokens(self, place: int, n: int) -> np.ndarray:
         """``n`` ids from ``place`` on; raises where the mask says there are none."""
         size = self.sequence * self.per_batch
         parts = []
         while n > 0:
-            ids, mask = self.batch(place // size)
+            ids, mask, led = self._held(place // size)
             at = place % size
             take = min(n, size - at)
-            if not mask.reshape(-1)[at : at + take].all() or at + take > ids.size:
+            if at + take > led and (at + take > len(ids) or not mask[at : at + take].all()):
                 raise ValueError("no token there")
-            parts.append(ids.reshape(-1)[at : at + take])
+            parts.append(ids[at : at + take])
             place, n = place + take, n - take
         return np.concatenate(parts) if len(parts) != 1 else parts[0]
 

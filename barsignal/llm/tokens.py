@@ -45,21 +45,30 @@ class ChunkEncoder:
 
     def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
         """Chunks that are one lower-case Latin word go to the model at once: no other step changes them."""
-        words = [c for c in chunks if c.isalpha() and max(c) < "\u0100" and c.islower()]
-        found = {}
+        found, rest = {}, []
         tokenize, code = self.tokenizer.model.tokenize, self.dtype.char
-        for c in words:
-            shown = c if c.isascii() else "".join(map(BYTE_CHARS.__getitem__, c.encode()))
-            found[c] = array(code, [t.id for t in tokenize(shown)]).tobytes()
-        rest = [c for c in chunks if c not in found]
+        for c in chunks:
+            if not (c.isalpha() and c.islower()):
+                rest.append(c)
+            elif c.isascii():
+                found[c] = array(code, [t.id for t in tokenize(c)]).tobytes()
+            elif max(c) < "\u0100":
+                shown = "".join(map(BYTE_CHARS.__getitem__, c.encode()))
+                found[c] = array(code, [t.id for t in tokenize(shown)]).tobytes()
+            else:
+                rest.append(c)
         found.update(zip(rest, self._encode(rest), strict=True))
         return found
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks that the younger generation lacks."""
-        found = {c: self.old[c] for c in chunks if c in self.old}
+        old = self.old
+        found = {c: old[c] for c in chunks if c in old} if old else {}
         # A full stop or comma after Latin letters is a token of its own.
-        split = [c for c in chunks if c not in found and c[-1:] in (".", ",") and c[:-1].isalpha() and max(c) < "\u0100"]
+        split = [
+            c for c in chunks
+            if c.endswith((".", ",")) and c not in found and c[:-1].isalpha() and (c.isascii() or max(c) < "\u0100")
+        ]
         wanted = chunks.difference(found, split)
         wanted.update(c[:-1] for c in split)
         wanted.update(c[-1] for c in split)
@@ -99,14 +108,14 @@ class ChunkEncoder:
             chunks = text.replace("\n", " ").split(" ")
             ids = list(map(get, chunks))
             gaps = [i for i, x in enumerate(ids) if x is None]
-            gaps = [(i, chunks[i]) for i in gaps]
-            missing.update(c for _, c in gaps)
-            parts.append((ids, gaps))
+            words = [chunks[i] for i in gaps]
+            missing.update(words)
+            parts.append((ids, gaps, words))
         found = self._learn(missing) if missing else {}
-        for ids, gaps in parts:
-            for i, c in gaps:
+        for ids, gaps, words in parts:
+            for i, c in zip(gaps, words, strict=True):
                 ids[i] = found[c]
-        return [b"".join(ids) for ids, _ in parts]
+        return [b"".join(ids) for ids, _, _ in parts]
 
 
 def _is_latin(text: str) -> bool:
