@@ -14,8 +14,9 @@ OTHER_SECTOR = "Miscellaneous"
 
 def news_x_sentiment(news: DataFrame, scores: DataFrame) -> DataFrame:
     """Articles with their scores. A repeated ``No`` multiplies rows: see
-    ``duplicate_articles``."""
-    return news.join(scores, "No", "inner")
+    ``duplicate_articles``. Scores, a row per article, are hashed: neither side
+    is sorted."""
+    return news.join(scores.hint("shuffle_hash"), "No", "inner")
 
 
 def duplicate_articles(df: DataFrame) -> DataFrame:

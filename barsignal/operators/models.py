@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from barsignal.functions.scalars import format_model_name, sector_key, threshold
 from barsignal.operators.features import FEATURES
-from barsignal.operators.folds import TEST_DAYS, TRAIN_DAYS, assign_folds, fold_slice, fold_table, match_model
+from barsignal.operators.folds import TEST_DAYS, TRAIN_DAYS, assign_folds, fold_counts, fold_slice, fold_table, match_model
 from barsignal.operators.metrics import METRICS
 from barsignal.session import work_dir
 
@@ -58,6 +58,8 @@ REGISTRY_SCHEMA = "category string, model_path string, train_start date, train_e
 LEDGER, PREDICTIONS = "_ledger", "_predictions"
 LEDGER_SCHEMA = f"{REGISTRY_SCHEMA}, fold int, predictions_path string, settings string"
 FOLD_KEYS = ("category", "train_start", "train_end", "test_start", "test_end")
+# A fold of at most so many rows is trained, or scored, in one task.
+TASK_ROWS = 20_000
 # Rows that a task scores with one saved model.
 SCORED_ROWS = 50_000
 
@@ -111,9 +113,17 @@ def _ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(work_dir(spark, "checkpoints"))
 
 
-def _each(spark: SparkSession, work: Callable, items: list, parallelism: int | None) -> list:
-    """Runs ``work`` over the items in threads: by default one per four cores of the cluster."""
-    parallelism = parallelism or max(4, spark.sparkContext.defaultParallelism // 4)
+def _packed(df: DataFrame, rows: int | None) -> DataFrame:
+    """A small fold in one task. Its rows lie in some of the table's files, and
+    every job of a fit has a task for each of the others too."""
+    return df.coalesce(1) if rows is not None and rows <= TASK_ROWS else df
+
+
+def _each(spark: SparkSession, work: Callable, items: list, parallelism: int | None, small: bool = False) -> list:
+    """Runs ``work`` over the items in threads: by default one per four cores of
+    the cluster; small items, which are one task at a time, one per core up to 16."""
+    cores = spark.sparkContext.defaultParallelism
+    parallelism = parallelism or max(4, cores // 4, min(cores, 16) if small else 0)
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(inheritable_thread_target(spark)(work), items))
 
@@ -147,7 +157,8 @@ def walk_forward(
     name = format_model_name(*[F.col(c) for c in FOLD_KEYS[1:]])
     # One small row per sector and fold: the driver starts the fits from these.
     named = fold_table(model_set, train_days, test_days).withColumns({"name": name, "folder": _folder(F.col("category"))})
-    folds = named.orderBy("category", "fold").collect()
+    counts = fold_counts(model_set, train_days, test_days)
+    folds = named.join(counts, ["category", "fold"], "left").orderBy("category", "fold").collect()
     settings = json.dumps({"features": list(features), "train_days": train_days, "test_days": test_days, **pipeline}, sort_keys=True)
     finished = {}
     if models_dir and resume:
@@ -164,10 +175,10 @@ def walk_forward(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{number}")
         try:
             in_sector = model_set.where(F.col("category") == fold.category)
-            train = fold_slice(in_sector, fold.train_start, fold.train_end)
+            train = _packed(fold_slice(in_sector, fold.train_start, fold.train_end), fold.n_train)
             model = make_pipeline(features, **pipeline).fit(train.select("Label", *features))
             path = f"{root}/{fold.folder}/{fold.name}"
-            test = fold_slice(in_sector, fold.test_start, fold.test_end)
+            test = _packed(fold_slice(in_sector, fold.test_start, fold.test_end), fold.n_test)
             rows = predict(model, test).withColumn("fold", F.lit(fold.fold)).select(*columns)
             rows.write.mode("overwrite").parquet(path)
             if models_dir:
@@ -185,7 +196,8 @@ def walk_forward(
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
-    done = _each(spark, run, list(enumerate(folds)), parallelism)
+    small = all(fold.n_train is not None and fold.n_train <= TASK_ROWS for fold in folds)
+    done = _each(spark, run, list(enumerate(folds)), parallelism, small)
     paths = [path for *_, path in done if path]
     if paths:
         predictions = spark.read.schema(PREDICTION_SCHEMA).parquet(*paths)

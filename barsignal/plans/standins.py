@@ -18,11 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts are the small side of a partition: hashed, the lines need no sort."""
+    return table(spark, sf_dir, "part").hint("shuffle_hash")
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars per part brand: first, highest, lowest and last line price."""
-    items = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
+    items = table(spark, sf_dir, "lineitem").join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
     line = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity")
     return (
         items.groupBy(F.col("l_shipdate").cast("date").alias("Date"), F.col("p_brand").alias("Stock_symbol"))
@@ -48,16 +51,14 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One article per order, order day and brand."""
-    # Orders are the small side of a partition: hashed, the lines need no sort.
+    lines = table(spark, sf_dir, "lineitem").join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("No"), F.col("o_orderdate").cast("date").alias("Date"))
+    # Orders are hashed as well, and joined last: the distinct rows of an order
+    # are found where it was joined, without a third shuffle of the lines.
     return (
-        table(spark, sf_dir, "orders").hint("shuffle_hash")
-        .join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.col("o_orderkey").alias("No"),
-            F.col("o_orderdate").cast("date").alias("Date"),
-            F.col("p_brand").alias("Stock_symbol"),
-        )
+        orders.hint("shuffle_hash")
+        .join(lines.select("l_orderkey", F.col("p_brand").alias("Stock_symbol")), F.col("No") == F.col("l_orderkey"))
+        .select("No", "Date", "Stock_symbol")
         .distinct()
     )
 
@@ -66,9 +67,11 @@ def article_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three probabilities per article number, in exact 128ths."""
     a = ((F.col("No") * 37 + 11) % 65).cast("double")
     b = ((F.col("No") * 53 + 7) % 64).cast("double")
+    # The keys of the lines are hashed, each once however often it comes.
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey").hint("shuffle_hash")
     scored = (
         table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
         .select(F.col("o_orderkey").alias("No"))
         .distinct()
     )

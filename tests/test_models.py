@@ -173,3 +173,28 @@ def test_default_parameters():
     assert got == [400, 5, 0.03, 0.8, "0.8", 42]
     assert len(models.MODEL_FEATURES) == 23
     assert models.z_columns(type("T", (), {"columns": ["a", "a_z", "zz"]})) == ["a_z"]
+
+
+def test_a_small_fold_is_one_task(spark, table, run, monkeypatch):
+    """Files that hold none of its rows add no tasks to a fold's jobs; larger folds keep theirs."""
+    many = materialize(table.repartition(24), "many_files")
+    seen = []
+    make = models.make_pipeline
+
+    class Seen:
+        def __init__(self, *args, **kwargs):
+            self.pipeline = make(*args, **kwargs)
+
+        def fit(self, train):
+            seen.append((train.rdd.getNumPartitions(), train.count()))
+            return self.pipeline.fit(train)
+
+    monkeypatch.setattr(models, "make_pipeline", Seen)
+    for rows, tasks in ((models.TASK_ROWS, 1), (119, None)):
+        monkeypatch.setattr(models, "TASK_ROWS", rows)
+        seen.clear()
+        predictions, status = models.walk_forward(many, COLUMNS, **SPAN, **TREES)
+        assert [n for _, n in seen] == [120, 120, 120] and all(n == tasks if tasks else n > 1 for n, _ in seen)
+        assert {r.status for r in status.collect()} == {"done"} and status.count() == 3
+        keys = ["category", "fold", "Date", "Stock_symbol", "Label"]
+        assert predictions.select(*keys).exceptAll(run[1].select(*keys)).count() == 0 and predictions.count() == run[1].count()

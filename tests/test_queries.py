@@ -66,3 +66,26 @@ def test_news_of_one_task_stay_small(spark, tmp_path):
     assert news.count() == len({(i // 4, i % 5 // 2) for i in range(4 * n)})
     plan = news._jdf.queryExecution().sparkPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_lines_are_shuffled_twice_for_the_news(spark, tmp_path):
+    """The distinct rows of an order are found where it was joined; repeated lines, missing keys and unmatched rows do not count."""
+    configure(spark)
+    spark.sql("""SELECT * FROM VALUES (1L, timestamp'1996-01-01'), (2L, timestamp'1996-01-02'), (2L, timestamp'1996-01-02'),
+        (2L, timestamp'1996-01-05'), (3L, null), (4L, timestamp'1996-01-04'), (null, timestamp'1996-01-04')
+        AS t(o_orderkey, o_orderdate)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""SELECT * FROM VALUES (1L, 1L), (1L, 1L), (1L, 2L), (1L, 3L), (2L, 3L), (3L, 1L), (3L, null), (4L, 9L),
+        (5L, 1L), (null, 1L) AS t(l_orderkey, l_partkey)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT * FROM VALUES (1L, 'A'), (2L, 'A'), (3L, null), (3L, 'B'), (null, 'C') AS t(p_partkey, p_brand)").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    news = standins.news(spark, str(tmp_path))
+    assert sorted((tuple(map(str, r)) for r in news.collect())) == [
+        ("1", "1996-01-01", "A"), ("1", "1996-01-01", "B"), ("1", "1996-01-01", "None"),
+        ("2", "1996-01-02", "B"), ("2", "1996-01-02", "None"), ("2", "1996-01-05", "B"), ("2", "1996-01-05", "None"),
+        ("3", "None", "A"),
+    ]
+    assert sorted(r.No for r in standins.article_sentiment(spark, str(tmp_path)).collect()) == [1, 2, 3, 4]
+    # Both sides of two joins, and nothing for the distinct rows.
+    plan = standins.news(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4 and "SortMergeJoin" not in plan
