@@ -1,7 +1,8 @@
 """Boosted trees trained and scored fold by fold.
 
-Folds are independent and every fit is distributed, so a few folds run at a
-time from a small pool of driver threads, each in a scheduler pool of its own.
+Folds are independent, so some run at a time from a small pool of driver
+threads, each in a scheduler pool of its own. A small fold is trained in one
+task; the fit of a larger one is distributed.
 A finished fold commits its model and its predictions to a ledger, so a run
 that was ended goes on where it stopped. Saved models are tables of nodes:
 all folds are scored by them in one job. The driver sees fold dates and model
@@ -16,10 +17,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,7 @@ from barsignal.functions.scalars import format_model_name, sector_key, threshold
 from barsignal.operators.features import FEATURES
 from barsignal.operators.folds import TEST_DAYS, TRAIN_DAYS, assign_folds, fold_counts, fold_slice, fold_table, match_model
 from barsignal.operators.metrics import METRICS
+from barsignal.operators.trees import TASK_ROWS, FoldPipeline, FoldTrees, all_margins, probability_of_one, write_table
 from barsignal.session import work_dir
 
 MODEL_FEATURES = tuple(f"{f}_z" for f in FEATURES)
@@ -57,9 +59,12 @@ REGISTRY_SCHEMA = "category string, model_path string, train_start date, train_e
 # Table of the finished folds inside the models' folder, and their predictions.
 LEDGER, PREDICTIONS = "_ledger", "_predictions"
 LEDGER_SCHEMA = f"{REGISTRY_SCHEMA}, fold int, predictions_path string, settings string"
+LEDGER_TYPES = pa.schema([
+    *[(c, pa.string()) for c in ("category", "model_path")],
+    *[(c, pa.date32()) for c in ("train_start", "train_end", "test_start", "test_end")],
+    ("fold", pa.int32()), ("predictions_path", pa.string()), ("settings", pa.string()),
+])
 FOLD_KEYS = ("category", "train_start", "train_end", "test_start", "test_end")
-# A fold of at most so many rows is trained, or scored, in one task.
-TASK_ROWS = 20_000
 # Rows that a task scores with one saved model.
 SCORED_ROWS = 50_000
 
@@ -83,9 +88,9 @@ def make_pipeline(
     column_sample: float = COLUMN_SAMPLE,
     seed: int = SEED,
 ) -> Pipeline:
-    return Pipeline(stages=[
+    return FoldPipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
-        GBTClassifier(
+        FoldTrees(
             labelCol="Label",
             featuresCol="features",
             maxIter=rounds,
@@ -114,8 +119,8 @@ def _ensure_checkpoints(spark: SparkSession) -> None:
 
 
 def _packed(df: DataFrame, rows: int | None) -> DataFrame:
-    """A small fold in one task. Its rows lie in some of the table's files, and
-    every job of a fit has a task for each of the others too."""
+    """A small fold in one task, which grows its trees there. Its rows lie in some
+    of the table's files, and every job has a task for each of the others too."""
     return df.coalesce(1) if rows is not None and rows <= TASK_ROWS else df
 
 
@@ -185,9 +190,9 @@ def walk_forward(
                 saved = f"{models_dir}/{fold.folder}/{fold.name}"
                 model.write().overwrite().save(saved)
                 # The fold counts from here on: whatever ends before is fitted again.
-                entry = spark.createDataFrame([(fold.category, saved, *key[1:], fold.fold, path, settings)], LEDGER_SCHEMA)
+                entry = dict(zip(LEDGER_TYPES.names, (fold.category, saved, *key[1:], fold.fold, path, settings), strict=True))
                 # A folder a fold: folds commit side by side, and a later run's entry takes the place of an earlier one's.
-                entry.coalesce(1).write.mode("overwrite").parquet(f"{models_dir}/{LEDGER}/of-{fold.folder}-{fold.name}")
+                write_table(spark, f"{models_dir}/{LEDGER}/of-{fold.folder}-{fold.name}", pa.Table.from_pylist([entry], LEDGER_TYPES))
             return fold.category, fold.fold, "done", "", path
         except Exception as error:
             if on_error == "raise":
@@ -287,28 +292,10 @@ def _inputs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return found.where("inputs IS NOT NULL")
 
 
-def boosted_margins(x: np.ndarray, nodes: pd.DataFrame) -> np.ndarray:
-    """Weighted votes of the trees of one model on every row of ``x``."""
-    nodes = nodes.sort_values(["tree", "id"])
-    tree = nodes["tree"].to_numpy()
-    first = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]])
-    base = np.repeat(first, np.diff(np.r_[first, len(tree)]))
-    feature, threshold = nodes["feature"].to_numpy(), nodes["threshold"].to_numpy()
-    inner = feature >= 0
-    left, right = (np.where(inner, base + nodes[c].to_numpy(), np.arange(len(tree))) for c in ("left", "right"))
-    at = np.broadcast_to(first, (len(x), len(first))).copy()
-    rows = np.arange(len(x))[:, None]
-    while inner[at].any():
-        at = np.where(x[rows, np.maximum(feature[at], 0)] <= threshold[at], left[at], right[at])
-    votes = nodes["prediction"].to_numpy()[at] * nodes["weight"].to_numpy()[first]
-    return np.add.accumulate(votes, axis=1)[:, -1]  # in the trees' order
-
-
 def _score_group(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
     out = rows[["category", "fold", "Date", "Stock_symbol", "Label"]].assign(margin=np.nan)
     if len(rows) and len(nodes):
-        margins = [boosted_margins(np.array(rows["_x"].iloc[k : k + 2048].tolist(), float), nodes) for k in range(0, len(rows), 2048)]
-        out["margin"] = np.concatenate(margins)
+        out["margin"] = all_margins(rows["_x"], nodes)
     return out
 
 
@@ -361,9 +348,7 @@ def evaluate_saved(
     scored = ready.groupBy("model", "_part").cogroup(nodes.groupBy("model", "_part")).applyInPandas(
         _score_group, "category string, fold int, Date date, Stock_symbol string, Label int, margin double"
     )
-    # The exponential of the fitted models, so that scores equal theirs to the last bit.
-    exp = F.java_method(F.lit("java.lang.Math"), F.lit("exp"), 2 * F.col("margin")).cast("double")
-    named = scored.withColumn("y_prob", 1 - 1 / (1 + exp)).withColumns({"y_pred": threshold(F.col("y_prob")), "y_test": F.col("Label")})
+    named = scored.withColumn("y_prob", probability_of_one(F.col("margin"))).withColumns({"y_pred": threshold(F.col("y_prob")), "y_test": F.col("Label")})
     return named.select(*[f.name for f in PREDICTION_SCHEMA]), told
 
 

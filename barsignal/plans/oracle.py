@@ -634,7 +634,7 @@ COUNTED = "folds join counted using (category, fold)"
 add("walk_forward", f"""
     select m.category, fold, Stock_symbol, {day('m.Date', 'Date')}, Label, Label as y_test, true as cut_agrees, true as in_range
     from {TESTED}""", *TRIAL_FOLDS)
-add("walk_forward_status", "select category, fold, 'done' as status from folds", *TRIAL_FOLDS)
+add("walk_forward_status", "select category, fold, 'done' as status from folds", *fold_tables("model_set", 252, 21))
 add("walk_forward_results", f"select category, fold, {FOLD_DATES}, n_train, n_test, {MODEL_NAME} as model from {COUNTED}", *TRIAL_FOLDS, TRIAL_COUNTS)
 add("model_registry", f"select category, {FOLD_DATES} from folds", *TRIAL_FOLDS)
 add("sorted_models", f"select category, {day('test_start')}, {day('test_end')} from folds", *TRIAL_FOLDS)

@@ -29,11 +29,11 @@ PLACES_OF = dict.fromkeys(
     ("negative", "neutral", "positive", "Sent_Net", "Sent_MA5", "Sent_Mom5", "Sent_Lag3"), 12
 )
 
-# The walk-forward queries fit every sector and date at the reference's train
-# length and depth. Their test spans are longer, which predicts each date once
-# as well, and their rounds fewer: an argument of the run (default 400).
+# The walk-forward queries fit every sector and date with the reference's train
+# length, depth and rounds. walk_forward_status has its test span too; in the
+# others it is that of their SQL, which is longer and predicts each date once
+# as well.
 TRIAL = {"train_days": 252, "test_days": 504}
-TRIAL_TREES = {"rounds": 2}
 
 _REGISTRY: dict[str, Query] = {}
 _WRITTEN: dict[tuple, DataFrame] = {}
@@ -928,12 +928,15 @@ def _(spark, sf_dir):
 # Models ------------------------------------------------------------------
 # Scores have no SQL equivalent; what they must agree with has.
 
-def _trial(spark: SparkSession, sf_dir: str):
+def _trial(spark: SparkSession, sf_dir: str, **spans: int):
+    """(models' folder, predictions, status) of a run, by default that of ``TRIAL``."""
+    spans = spans or TRIAL
+
     def make():
         folder = work_dir(spark, "models")
-        return folder, *models.walk_forward(silver(spark, sf_dir, "model_set"), models_dir=folder, **TRIAL, **TRIAL_TREES)
+        return folder, *models.walk_forward(silver(spark, sf_dir, "model_set"), models_dir=folder, **spans)
 
-    return once(spark, sf_dir, "trial", make)
+    return once(spark, sf_dir, f"trial {sorted(spans.items())}", make)
 
 
 def _consistent(df: DataFrame) -> DataFrame:
@@ -951,7 +954,8 @@ def _(spark, sf_dir):
 
 @query("walk_forward_status")
 def _(spark, sf_dir):
-    return _trial(spark, sf_dir)[2].select("category", "fold", "status")
+    whole = _trial(spark, sf_dir, train_days=folds.TRAIN_DAYS, test_days=folds.TEST_DAYS)
+    return whole[2].select("category", "fold", "status")
 
 
 @query("walk_forward_results")
